@@ -18,6 +18,9 @@ ADAPTIVE = {
 }
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Set the adaptive options the user has not set themselves."""
     given = dict(spark.sparkContext.getConf().getAll())
@@ -31,8 +34,9 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach; a local one only where none is configured."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="shelfwise-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        folder = _LOCAL_DIRS.setdefault(app, "") or tempfile.mkdtemp(prefix="shelfwise-")
+        _LOCAL_DIRS[app] = folder
     return folder.rstrip("/")
 
 
