@@ -32,18 +32,19 @@ def cumulative_share(
     )
     by_group = Window.partitionBy(*group)
     before = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # null-safe keys: a missing hierarchy level is a group of its own
+    keys = [*group, "_slice"]
     lifts = (
-        sliced.groupBy(*group, "_slice")
+        sliced.groupBy(*keys)
         .agg(F.sum(value).alias("_sum"))
-        .withColumn("_lift", F.coalesce(F.sum("_sum").over(before), F.lit(0.0)))
-        .withColumn(f"{prefix}total", F.sum("_sum").over(by_group))
-        .drop("_sum")
-    )
-    # null-safe keys: a missing hierarchy level is a group of its own
-    match = [sliced[c].eqNullSafe(lifts[c]) for c in (*group, "_slice")]
-    joined = sliced.join(lifts, match, "inner").select(
-        *(sliced[c] for c in sliced.columns), lifts["_lift"], lifts[f"{prefix}total"]
+        .select(
+            *(F.col(k).alias(f"_at_{k}") for k in keys),
+            F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_lift"),
+            F.sum("_sum").over(by_group).alias(f"{prefix}total"),
+        )
     )
+    match = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys]
+    joined = sliced.join(lifts, match, "inner").drop(*(f"_at_{k}" for k in keys))
     within = (
         Window.partitionBy(*group, "_slice")
         .orderBy(*order)

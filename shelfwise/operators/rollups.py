@@ -84,7 +84,7 @@ def price_change_distribution(fact: DataFrame, keys: Sequence[str], accuracy: in
 
 
 def store_period_coverage(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    """Rows of every catalogue store in every week, zero where a store is missing.
+    """Row count of every catalogue store in every week, null where a store is missing.
 
     Weeks are gathered once as a single list, since there are only as many as weeks
     on record, and every store gets that list; no two tables are multiplied.
@@ -98,7 +98,7 @@ def store_period_coverage(sales: DataFrame, stores: DataFrame) -> DataFrame:
         .join(weeks, "_all", "inner")
         .select("store", F.explode("_weeks").alias("period"))
     )
-    return grid.join(counts, ["store", "period"], "left").fillna(0, ["rows"])
+    return grid.join(counts, ["store", "period"], "left")
 
 
 def top_skus_per_decile(fact: DataFrame, deciles: int = 5, n: int = 2) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise import schemas
-from shelfwise.functions.weeks import rebase_week
 
 FEED_FILE = r"^(.+?)(\d{6})\.csv$"
 SNAPSHOT_FILE = r"^.+?_(\d\d...\d\d)\.csv$"
@@ -80,7 +79,7 @@ def read_sales(spark: SparkSession, root: str, periods: Sequence[int], raw: bool
     """
     names = [f"ventas{p}.csv" for p in periods]
     sales = read_delimited(
-        spark, f"{root}/ventas", schemas.SALES, file_glob=f"ventas*.csv", with_file_name=True
+        spark, f"{root}/ventas", schemas.SALES, file_glob="ventas*.csv", with_file_name=True
     ).filter(F.col("_file").isin(names))
     year = (F.regexp_extract("_file", FEED_FILE, 2).cast("int") / 100).cast("int")
     sales = sales.withColumn("period", year * 100 + F.pmod("period", F.lit(100))).drop("_file")
@@ -184,6 +183,3 @@ def read_inventory(spark: SparkSession, root: str, file: str, default_day: date
     )
     return raw.withColumn("stock_date", F.coalesce(day, F.lit(default_day).cast("date")))
 
-
-def rebase_periods(df: DataFrame, year: int) -> DataFrame:
-    return df.withColumn("period", rebase_week(F.col("period"), year))
