@@ -494,11 +494,13 @@ _FACT_METRICS = """sku, store, avg_price, avg_price_gross, central_price_gross,
     comp_minus_hist_median, clearance, comp_clearance, comp_clearance_now, promo, comp_promo, comp_promo_now,
     comp_promo_recent, target_margin, priority, comp_store"""
 
-_COVERAGE = f"""SELECT store, dept, subdept, count(suggested_price) AS priced,
+def coverage(view: str) -> str:
+    return f"""SELECT store, dept, subdept, count(suggested_price) AS priced,
     count(*)-count(suggested_price) AS unpriced,
     {', '.join(f"{cut(f'sum({c}) FILTER (suggested_price IS NOT NULL)', 2)} AS {c}" for c in _IMPACTS.split())},
     CAST(floor(100.0*count(suggested_price)/count(*)+0.5) AS BIGINT) AS percent_regulated
-    FROM impact_full GROUP BY store, dept, subdept"""
+    FROM {view} GROUP BY store, dept, subdept"""
+
 
 _EN_ES = "replace(replace(replace(replace(strftime(stock_date, '%d%b%y'), 'Jan', 'Ene'), 'Apr', 'Abr'), 'Aug', 'Ago'), 'Dec', 'Dic')"
 
@@ -526,8 +528,8 @@ SQL: dict[str, str] = {
     "dim_promo_limits": "SELECT * FROM promo_limits",
     "dim_price_groups": "SELECT * FROM price_groups",
     "dim_exceptions": "SELECT * FROM exceptions",
-    "restricted_extract": """SELECT * FROM sales WHERE sku IN (SELECT sku FROM exceptions)
-        AND store IN (SELECT store FROM stores WHERE store_type='EXPRESS')""",
+    "restricted_extract": """SELECT * FROM sales WHERE sku IN (SELECT sku FROM skus WHERE status='AT')
+        AND store IN (SELECT store FROM stores WHERE format='ASIA')""",
     "store_scope_filter": """SELECT CAST(l_suppkey*7%1000 AS INT) AS store, count(*) AS n FROM lineitem
         WHERE (l_suppkey*7%1000 < 300 OR l_suppkey*7%1000 > 499) AND l_suppkey*7%1000 NOT IN (686, 687) GROUP BY 1""",
     "exception_split": """SELECT sku, store, suggested_price, CASE WHEN exception IS NULL AND group_exception IS NULL
@@ -608,8 +610,8 @@ SQL: dict[str, str] = {
     "sales_sum_weeks": _cut_columns("week_totals", "total_amount"),
     "competitor_upcs": "SELECT DISTINCT upc FROM prices",
     "group_exceptions": group_exceptions(),
-    "coverage_by_subdept": _COVERAGE,
-    "coverage_by_subdept_both": f"SELECT * FROM ({_COVERAGE}) WHERE priced > 0 AND unpriced > 0",
+    "coverage_by_subdept": coverage("impact_full"),
+    "coverage_by_subdept_both": f"SELECT * FROM ({coverage('impact')}) WHERE priced > 0 AND unpriced > 0",
     "regulated_counts": """SELECT store, dept, subdept, count(suggested_price) AS regulated, count(*) AS articles
         FROM impact_full GROUP BY store, dept, subdept""",
     "impact_by_sku": f"""SELECT a.*, k.* EXCLUDE (sku, upc), national_decile FROM (

@@ -59,12 +59,12 @@ def scan_delimited(r: Roles) -> DataFrame:
 
 @query
 def weekly_sales(r: Roles) -> DataFrame:
-    return r.sales
+    return r.lazy_sales
 
 
 @query
 def competitor_prices(r: Roles) -> DataFrame:
-    return r.prices
+    return r.lazy_prices
 
 
 @query
@@ -137,47 +137,47 @@ def competitor_store_catalogue(r: Roles) -> DataFrame:
 
 @query
 def dim_stores(r: Roles) -> DataFrame:
-    return r.cats.stores
+    return r.lazy_cats.stores
 
 
 @query
 def dim_skus(r: Roles) -> DataFrame:
-    return r.cats.skus
+    return r.lazy_cats.skus
 
 
 @query
 def dim_store_deciles_latest(r: Roles) -> DataFrame:
-    return r.cats.store_deciles
+    return r.lazy_cats.store_deciles
 
 
 @query
 def dim_national_deciles(r: Roles) -> DataFrame:
-    return r.cats.national_deciles
+    return r.lazy_cats.national_deciles
 
 
 @query
 def dim_taxes(r: Roles) -> DataFrame:
-    return r.cats.taxes
+    return r.lazy_cats.taxes
 
 
 @query
 def dim_competition_matrix(r: Roles) -> DataFrame:
-    return r.cats.matrix
+    return r.lazy_cats.matrix
 
 
 @query
 def dim_promo_limits(r: Roles) -> DataFrame:
-    return r.cats.promo_limits
+    return r.lazy_cats.promo_limits
 
 
 @query
 def dim_price_groups(r: Roles) -> DataFrame:
-    return r.cats.price_groups
+    return r.lazy_cats.price_groups
 
 
 @query
 def dim_exceptions(r: Roles) -> DataFrame:
-    return r.cats.exceptions
+    return r.lazy_cats.exceptions
 
 
 # Projections and predicates
@@ -185,9 +185,9 @@ def dim_exceptions(r: Roles) -> DataFrame:
 
 @query
 def restricted_extract(r: Roles) -> DataFrame:
-    """Sales of the exceptional articles in the express stores."""
-    express = r.cats.stores.filter(F.col("store_type") == "EXPRESS")
-    return rollups.restricted_extract(r.sales, r.cats.exceptions, express)
+    """Sales of the discontinued articles in the stores of one format."""
+    discontinued = r.cats.skus.filter(F.col("status") == "AT")
+    return rollups.restricted_extract(r.sales, discontinued, r.cats.stores.filter(F.col("format") == "ASIA"))
 
 
 @query
@@ -273,10 +273,14 @@ def matrix_expand(r: Roles) -> DataFrame:
     )
 
 
+def _hierarchy(r: Roles) -> DataFrame:
+    return r.cats.skus.select("sku", "upc", *fact_plan.HIERARCHY)
+
+
 @query
 def priority_pick(r: Roles) -> DataFrame:
     """Best competitor store of every article and store, with its latest price moved to an ending."""
-    lines = fact_plan.sales_lines(r.total_sales, r.cats.skus)
+    lines = fact_plan.sales_lines(r.total_sales, _hierarchy(r))
     then = fact_plan.week_prices(r.prices, wk.week_before(RUN_PERIOD, 2), "comp_price")
     now = fact_plan.week_prices(r.prices, RUN_PERIOD, "comp_price_now")
     recent = matching.latest_price_per_store(comp_plan.look_back(r.prices, RUN_PERIOD, 0, LOOK_BACK))
@@ -413,7 +417,7 @@ def recent_national_stats(r: Roles) -> DataFrame:
 
 @query
 def sales_price_stats_by_format(r: Roles) -> DataFrame:
-    lines = fact_plan.sales_lines(r.sales, r.cats.skus)
+    lines = fact_plan.sales_lines(r.sales, _hierarchy(r))
     return rounded(
         fact_plan.sales_price_stats_by_format(lines, r.cats.stores), "format_price_avg format_price_std"
     )
@@ -445,7 +449,7 @@ def coverage_by_subdept(r: Roles) -> DataFrame:
 @query
 def coverage_by_subdept_both(r: Roles) -> DataFrame:
     return rounded(
-        impact_plan.coverage_by_subdept(r.impact.rows, require_both=True),
+        impact_plan.coverage_by_subdept(r.default_impact, require_both=True),
         two="impact_vs_central impact_vs_average",
     )
 
@@ -654,7 +658,7 @@ def promo_flag(r: Roles) -> DataFrame:
 @query
 def competitor_stats(r: Roles) -> DataFrame:
     """Store history and latest price with the national statistics of its UPC."""
-    s = r.lazy_stats
+    s = r.fresh_stats()
     out = (
         s.store_history.join(s.recent_store, matching.OBSERVATION, "left")
         .join(s.national, "upc", "left")

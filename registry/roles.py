@@ -6,6 +6,7 @@ whatever the order of the sum.
 
 from __future__ import annotations
 
+from dataclasses import fields
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.functions.weeks import midweek_date, week_of
 from shelfwise.operators import dims
-from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats
+from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats, look_back_prices
 from shelfwise.plans.fact_table import fact_table
 from shelfwise.plans.price_impact import PriceImpact, price_impact
 from shelfwise.plans.suggested_prices import suggested_prices
@@ -36,6 +37,17 @@ def _tenth(x: Column) -> Column:
     return F.floor(x / 10).cast("long")
 
 
+class _Once:
+    """A value made on first use."""
+
+    def __init__(self, make):
+        self._make = make
+
+    @cached_property
+    def value(self):
+        return self._make()
+
+
 class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
@@ -61,10 +73,10 @@ class Roles:
             "l_discount",
         )
 
-    # Facts
+    # Facts, as the weekly files would hold them
 
     @cached_property
-    def prices(self) -> DataFrame:
+    def lazy_prices(self) -> DataFrame:
         unit = cents(F.col("l_extendedprice") / F.col("l_quantity"))
         store = F.col("store")
         return (
@@ -88,15 +100,9 @@ class Roles:
         )
 
     @cached_property
-    def sales(self) -> DataFrame:
-        """Sales of every week."""
+    def lazy_sales(self) -> DataFrame:
         return self._sales_by("period", "sku", "store")
 
-    @cached_property
-    def total_sales(self) -> DataFrame:
-        """Sales of all weeks together, as the sales of the run."""
-        return self._sales_by("sku", "store").withColumn("period", F.lit(RUN_PERIOD))
-
     @cached_property
     def sales_with_hierarchy(self) -> DataFrame:
         return self.sales.join(
@@ -104,7 +110,7 @@ class Roles:
         )
 
     @cached_property
-    def inventory(self) -> DataFrame:
+    def lazy_inventory(self) -> DataFrame:
         price = cents(F.col("l_extendedprice"))
         return self.lines.groupBy("sku", "store", F.col("day").alias("stock_date")).agg(
             F.sum(F.col("l_quantity").cast("long")).cast("double").alias("stock_units"),
@@ -222,7 +228,7 @@ class Roles:
         )
 
     @cached_property
-    def cats(self) -> dims.Catalogues:
+    def lazy_cats(self) -> dims.Catalogues:
         skus = dims.skus(self.raw_skus)
         return dims.Catalogues(
             stores=dims.stores(self.raw_stores, ["s_suppkey"]),
@@ -232,7 +238,7 @@ class Roles:
             taxes=dims.taxes(self.raw_taxes),
             matrix=dims.competition_matrix(self.raw_matrix),
             promo_limits=dims.promo_limits(self.raw_promo_limits),
-            margins=dims.empty_margins(self.spark, skus),
+            margins=dims.empty_margins(skus),
             price_groups=dims.price_groups(self.raw_groups),
             exceptions=dims.exceptions(self.raw_exceptions),
         )
@@ -246,16 +252,44 @@ class Roles:
         return _STAGED[key]
 
     @cached_property
-    def lazy_stats(self) -> CompetitorStats:
-        return competitor_stats(self.prices, self.cats.matrix, RUN_PERIOD, 0, LOOK_BACK)
+    def prices(self) -> DataFrame:
+        return self.staged("prices", lambda: self.lazy_prices)
 
     @cached_property
-    def stats(self) -> CompetitorStats:
-        names = ("national", "store_history", "recent_national", "recent_store")
-        return CompetitorStats(
-            **{n: self.staged(n, lambda n=n: getattr(self.lazy_stats, n)) for n in names}
+    def sales(self) -> DataFrame:
+        """Sales of every week."""
+        return self.staged("sales", lambda: self.lazy_sales)
+
+    @cached_property
+    def total_sales(self) -> DataFrame:
+        """Sales of all weeks together, as the sales of the run."""
+        return self.staged(
+            "total_sales", lambda: self._sales_by("sku", "store").withColumn("period", F.lit(RUN_PERIOD))
+        )
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return self.staged("inventory", lambda: self.lazy_inventory)
+
+    @cached_property
+    def cats(self) -> dims.Catalogues:
+        return dims.Catalogues(
+            **{
+                f.name: self.staged(f"catalogue_{f.name}", lambda n=f.name: getattr(self.lazy_cats, n))
+                for f in fields(dims.Catalogues)
+            }
         )
 
+    def fresh_stats(self) -> CompetitorStats:
+        base = stage(look_back_prices(self.prices, self.cats.matrix, RUN_PERIOD, 0, LOOK_BACK), "base_prices")
+        return competitor_stats(base, RUN_PERIOD)
+
+    @cached_property
+    def stats(self) -> CompetitorStats:
+        names = [f.name for f in fields(CompetitorStats)]
+        made = _Once(self.fresh_stats)
+        return CompetitorStats(**{n: self.staged(n, lambda n=n: getattr(made.value, n)) for n in names})
+
     def lazy_fact(self, sales: DataFrame | None = None, **options) -> DataFrame:
         return fact_table(
             self.total_sales if sales is None else sales,
@@ -297,3 +331,7 @@ class Roles:
     def impact(self) -> PriceImpact:
         lazy = self.lazy_impact(how="full", ignore_national_mode=False)
         return PriceImpact(self.staged("impact", lambda: lazy.rows), lazy.group_exceptions)
+
+    @cached_property
+    def default_impact(self) -> DataFrame:
+        return self.staged("default_impact", lambda: self.lazy_impact().rows)

@@ -70,10 +70,10 @@ def promo_limits(raw: DataFrame) -> DataFrame:
     return one_per_key(raw, ["dept", "subdept"], ["promo_percent"])
 
 
-def empty_margins(spark: SparkSession, like: DataFrame) -> DataFrame:
+def empty_margins(like: DataFrame) -> DataFrame:
     """No margins yet, typed after the hierarchy columns of ``like``."""
-    kinds = [f"{c} {like.schema[c].dataType.simpleString()}" for c in ("dept", "subdept", "class_id")]
-    return spark.createDataFrame([], ", ".join([*kinds, "target_margin double"]))
+    none = F.lit(None).cast("double").alias("target_margin")
+    return like.select("dept", "subdept", "class_id", none).filter(F.lit(False))
 
 
 def price_groups(raw: DataFrame) -> DataFrame:

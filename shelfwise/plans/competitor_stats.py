@@ -57,12 +57,16 @@ def look_back(prices: DataFrame, period: int, first: int = 0, last: int = 6) ->
     return prices.filter(F.col("period").between(week_before(period, far), week_before(period, near)))
 
 
-def competitor_stats(
+def look_back_prices(
     prices: DataFrame, matrix: DataFrame, period: int, first: int = 0, last: int = 6
-) -> CompetitorStats:
-    base = matrix_prices(look_back(prices, period, first, last), matrix)
-    then = week_before(period, 2)
-    two_weeks = base.filter(F.col("period").isin(then, period))
+) -> DataFrame:
+    """What all statistics start from; worth staging, as four tables are made of it."""
+    return matrix_prices(look_back(prices, period, first, last), matrix)
+
+
+def competitor_stats(base: DataFrame, period: int) -> CompetitorStats:
+    """The four tables of the week ``period`` from its ``look_back_prices``."""
+    two_weeks = base.filter(F.col("period").isin(week_before(period, 2), period))
     return CompetitorStats(
         national=national_two_periods(two_weeks).filter(F.col("period") == period).drop("period"),
         store_history=store_price_history(base),

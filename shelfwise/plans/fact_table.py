@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -47,8 +46,23 @@ FACT_COLUMNS = """
 """.split()
 
 
+def sku_terms(cats: Catalogues) -> DataFrame:
+    """Taxes, margin, promotion limit and national decile of every article.
+
+    All of these hang on the article, so they are put together on the small side and
+    reach the sales lines in one join.
+    """
+    return (
+        cats.skus.select("sku", "upc", *HIERARCHY)
+        .join(cats.taxes, "sku", "inner")
+        .join(cats.national_deciles.drop("upc"), "sku", "left")
+        .join(cats.promo_limits, ["dept", "subdept"], "left")
+        .join(cats.margins, ["dept", "subdept", "class_id"], "left")
+    )
+
+
 def sales_lines(sales: DataFrame, skus: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
-    """Sales with the catalogue's hierarchy and the average price.
+    """Sales with the catalogue's hierarchy, the other columns of ``skus`` and the average price.
 
     With ``inventory`` every stocked (store, sku) is a line, sold or not.
     """
@@ -56,7 +70,7 @@ def sales_lines(sales: DataFrame, skus: DataFrame, inventory: DataFrame | None =
         sales = inventory_universe(inventory, sales)
     return (
         sales.drop("upc", *HIERARCHY)
-        .join(skus.select("sku", "upc", *HIERARCHY), "sku", "inner")
+        .join(skus, "sku", "inner")
         .filter(F.col("upc").isNotNull())
         .withColumn("avg_price", unit_price(F.col("amount"), F.col("units")))
     )
@@ -162,7 +176,7 @@ def fact_table(
     ``universe``: an inventory snapshot whose (store, sku) pairs are used instead of the
     sales lines. ``rebase`` puts week numbers into the year of ``period``.
     """
-    lines = sales_lines(sales, cats.skus, universe)
+    lines = sales_lines(sales, sku_terms(cats), universe)
     then = week_prices(prices, week_before(period, 2), "comp_price")
     now = week_prices(prices, period, "comp_price_now")
 
@@ -175,25 +189,21 @@ def fact_table(
         picked = picked.join(table, OBSERVATION, "left")
     picked = picked.join(stats.national, "upc", "left").join(stats.recent_national, "upc", "left")
 
+    # joins on (sku, store) come first, while the lines are narrow; descriptions come last
     central = central_price_asof(inventory, asof or midweek_date(period))
     rows = (
-        lines.join(picked, ["store", "upc", "dept", "subdept"], "inner")
-        .join(central, ["sku", "store"], "left")
-        .join(cats.taxes, "sku", "inner")
-        .join(cats.margins, ["dept", "subdept", "class_id"], "left")
-        .join(cats.promo_limits, ["dept", "subdept"], "left")
+        lines.join(central, ["sku", "store"], "left")
+        .join(cats.store_deciles, ["sku", "store"], "left")
+        .join(picked, ["store", "upc", "dept", "subdept"], "inner")
     )
-    fact = fact_metrics(rows, fill_with_mode).select(*FACT_COLUMNS)
+    fact = fact_metrics(rows, fill_with_mode).select(*FACT_COLUMNS, "store_decile", "national_decile")
     if rebase:
         fact = fact.withColumn("period", rebase_week(F.col("period"), period // 100))
+    plain_lines = sales_lines(sales, cats.skus.select("sku", "upc", *HIERARCHY), universe)
+    by_format = sales_price_stats_by_format(plain_lines, cats.stores)
     return (
         fact.join(cats.stores, "store", "inner")
+        .join(by_format, ["sku", "upc", "format"], "left")
         .join(cats.skus.drop("upc"), "sku", "left")
-        .join(cats.store_deciles, ["sku", "store"], "left")
-        .join(cats.national_deciles.drop("upc"), "sku", "left")
-        .join(sales_price_stats_by_format(lines, cats.stores), ["sku", "upc", "format"], "left")
     )
 
-
-def with_margins(cats: Catalogues, margins: DataFrame) -> Catalogues:
-    return replace(cats, margins=margins)

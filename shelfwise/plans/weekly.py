@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.operators.dims import Catalogues
 from shelfwise.plans import price_impact as impact_plan
-from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats
+from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats, look_back_prices
 from shelfwise.plans.fact_table import fact_table
 from shelfwise.plans.suggested_prices import SuggestedPrices, split_exceptions, suggested_prices
 from shelfwise.sources.tables import load_table, save_table
@@ -20,7 +20,8 @@ def _kept(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def run_competitor_stats(spark, prices, matrix, period, out, first=0, last=6) -> CompetitorStats:
-    stats = competitor_stats(prices, matrix, period, first, last)
+    base = look_back_prices(prices, matrix, period, first, last)
+    stats = competitor_stats(_kept(spark, base, f"{out}/base_prices_{period}"), period)
     return CompetitorStats(
         **{f.name: _kept(spark, getattr(stats, f.name), f"{out}/{f.name}_{period}") for f in fields(stats)}
     )
