@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from registry.roles import LOOK_BACK, RUN_PERIOD, Roles
+from registry.roles import LOOK_BACK, RUN_PERIOD, WEEKS_ON_RECORD, Roles
 from shelfwise import schemas
 from shelfwise.functions import prices as px
 from shelfwise.functions import weeks as wk
@@ -533,7 +533,8 @@ def price_change_by_dept(r: Roles) -> DataFrame:
 
 @query
 def store_period_coverage(r: Roles) -> DataFrame:
-    return rollups.store_period_coverage(r.sales, r.cats.stores)
+    weeks = [wk.week_before(RUN_PERIOD, n) for n in range(WEEKS_ON_RECORD)]
+    return rollups.store_period_coverage(r.sales, r.cats.stores, weeks)
 
 
 # Ordered work

@@ -83,21 +83,11 @@ def price_change_distribution(fact: DataFrame, keys: Sequence[str], accuracy: in
     return out.drop("_cuts")
 
 
-def store_period_coverage(sales: DataFrame, stores: DataFrame) -> DataFrame:
-    """Row count of every catalogue store in every week, null where a store is missing.
-
-    Weeks are gathered once as a single list, since there are only as many as weeks
-    on record, and every store gets that list; no two tables are multiplied.
-    """
+def store_period_coverage(sales: DataFrame, stores: DataFrame, periods: Sequence[int]) -> DataFrame:
+    """Row count of every catalogue store in each of ``periods``, null where a store is missing."""
     counts = sales.groupBy("store", "period").agg(F.count(F.lit(1)).alias("rows"))
-    weeks = counts.agg(F.collect_set("period").alias("_weeks")).withColumn("_all", F.lit(1))
-    grid = (
-        stores.select("store")
-        .distinct()
-        .withColumn("_all", F.lit(1))
-        .join(weeks, "_all", "inner")
-        .select("store", F.explode("_weeks").alias("period"))
-    )
+    weeks = F.array(*(F.lit(p) for p in periods))
+    grid = stores.select("store").distinct().withColumn("period", F.explode(weeks))
     return grid.join(counts, ["store", "period"], "left")
 
 

@@ -33,21 +33,33 @@ def in_store_scope(
     return ~store.between(low, high) & ~store.isin(*closed_stores)
 
 
-def gross_central(inventory: DataFrame, taxes: DataFrame) -> DataFrame:
-    """Stock with the gross central price on an allowed ending."""
-    net = ending_price(F.col("central_price"))
-    return (
-        central_price_snapshot(inventory)
-        .join(taxes, "sku", "left")
-        .withColumn("central_price_gross", ending_price(gross(net, F.col("iva"), F.col("ieps"))))
-        .select("sku", "store", "stock_units", "stock_value", "central_price_gross")
-    )
+def gross_prices(rows: DataFrame) -> DataFrame:
+    """Central and average price with taxes, on an allowed ending."""
+    c = F.col
+    net = ending_price(c("central_price"))
+    average = unit_price(c("amount"), c("units"), positive_only=True)
+    return rows.withColumns(
+        {
+            "central_price_gross": ending_price(gross(net, c("iva"), c("ieps"))),
+            "avg_price_gross": ending_price(gross(average, c("iva"), c("ieps"))),
+        }
+    ).drop("central_price", "amount", "units", "iva", "ieps")
+
 
+def open_articles(cats: Catalogues, excluded_groups: DataFrame) -> DataFrame:
+    """Active articles outside exceptions, with all that is known per article.
 
-def gross_average(sales: DataFrame, taxes: DataFrame) -> DataFrame:
-    average = unit_price(F.col("amount"), F.col("units"), positive_only=True)
-    return sales.join(taxes, "sku", "left").select(
-        "sku", "store", ending_price(gross(average, F.col("iva"), F.col("ieps"))).alias("avg_price_gross")
+    An article missing from the catalogue has no status and is left out like inactive ones.
+    """
+    exceptional = cats.exceptions.filter(F.col("exception").isNotNull())
+    return (
+        cats.skus.drop("upc")
+        .filter(~F.col("status").isin(*INACTIVE_STATUS))
+        .join(exceptional, "sku", "left_anti")
+        .join(cats.price_groups, "sku", "left")
+        .join(excluded_groups, "price_group", "left_anti")
+        .join(cats.taxes, "sku", "left")
+        .join(cats.national_deciles.drop("upc"), "sku", "left")
     )
 
 
@@ -133,33 +145,35 @@ def price_impact(
     """
     c = F.col
     scope = in_store_scope(c("store")) if scope is None else scope
-    stock = gross_central(inventory, cats.taxes).filter(scope)
     prices = prices.select(*PRICE_COLUMNS)
+    stock = (
+        central_price_snapshot(inventory)
+        .filter(scope)
+        .select("sku", "store", "stock_units", "stock_value", "central_price")
+    )
+    by_group = group_exceptions(cats.exceptions, cats.price_groups, among=stock)
+
+    # joins on (sku, store) follow each other, so the stock is shuffled for them once; the
+    # article's own data is joined as one table that already leaves out closed articles
     rows = (
-        stock.join(gross_average(sales, cats.taxes), ["sku", "store"], how)
-        .join(cats.price_groups, "sku", "left")
+        stock.join(sales.select("sku", "store", "amount", "units"), ["sku", "store"], how)
         .join(prices.drop("price_group"), ["sku", "store"], "left")
+        .join(open_articles(cats, by_group), "sku", "inner")
     )
-    rows = fall_back(fill_contingency(rows, contingency(prices)), ignore_national_mode)
-    rows = rows.withColumns(
-        {p: ending_price(c(p)) for p in ("suggested_price", "central_price_gross", "avg_price_gross")}
-    ).withColumns(
+    rows = fall_back(fill_contingency(gross_prices(rows), contingency(prices)), ignore_national_mode)
+    rows = rows.withColumn("suggested_price", ending_price(c("suggested_price"))).withColumns(
         {
             "impact_vs_central": c("stock_units") * (c("suggested_price") - c("central_price_gross")),
             "impact_vs_average": c("stock_units") * (c("suggested_price") - c("avg_price_gross")),
         }
     )
-    by_group = group_exceptions(cats.exceptions, cats.price_groups, among=stock)
-    kept = (
-        rows.join(by_group, "price_group", "left")
-        .join(cats.exceptions, "sku", "left")
-        .filter(c("exception").isNull() & c("group_exception").isNull())
-        .join(cats.skus.drop("upc"), "sku", "left")
-        .filter(~c("status").isin(*INACTIVE_STATUS))
-        .join(cats.national_deciles.drop("upc"), "sku", "left")
-        .join(cats.stores, "store", "left")
-    )
-    return PriceImpact(rows=kept, group_exceptions=by_group)
+    unset = {
+        "exception": "string",
+        "group_exception_sku": by_group.schema["group_exception_sku"].dataType,
+        "group_exception": "string",
+    }
+    rows = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in unset.items()})
+    return PriceImpact(rows=rows.join(cats.stores, "store", "left"), group_exceptions=by_group)
 
 
 # Reports
