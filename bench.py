@@ -34,6 +34,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         # the plans are wide; keep their compiled classes between runs
         .config("spark.sql.codegen.cache.maxEntries", "4000")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -131,12 +131,19 @@ def join_retention(sales: DataFrame, matrix: DataFrame, now: DataFrame, then: Da
         options = options.join(
             prices.select(*OBSERVATION).distinct().withColumn(flag, F.lit(True)), OBSERVATION, "left"
         )
-    with_now = F.col("_in_matrix") & F.col("_now")
-    return options.agg(
-        F.count_distinct("store").alias("stores_with_sales"),
-        F.count_distinct(F.when(F.col("_in_matrix"), F.col("store"))).alias("stores_in_matrix"),
-        F.count_distinct(F.when(with_now, F.col("store"))).alias("stores_with_prices_now"),
-        F.count_distinct(F.when(with_now & F.col("_then"), F.col("store"))).alias("stores_with_both_weeks"),
+    in_matrix = F.col("_in_matrix").isNotNull()
+    with_now = in_matrix & F.col("_now").isNotNull()
+    # one row per store first, so nothing has to be counted distinct
+    per_store = options.groupBy("store").agg(
+        F.bool_or(in_matrix).alias("matrix"),
+        F.bool_or(with_now).alias("now"),
+        F.bool_or(with_now & F.col("_then").isNotNull()).alias("then"),
+    )
+    return per_store.agg(
+        F.count("store").alias("stores_with_sales"),
+        F.count_if("matrix").alias("stores_in_matrix"),
+        F.count_if("now").alias("stores_with_prices_now"),
+        F.count_if("then").alias("stores_with_both_weeks"),
     )
 
 

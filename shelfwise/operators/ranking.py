@@ -26,34 +26,33 @@ def cumulative_share(
     same for both uses.
     """
     order = [F.col(value).desc(), *(F.col(c).asc() for c in tiebreak)]
+    # one key for group and slice: structs compare missing hierarchy levels as equal, and
+    # the join and the window below share one shuffle by it
     sliced = stage(
-        df.repartitionByRange(*(F.col(g) for g in group), *order).withColumn("_slice", F.spark_partition_id()),
+        df.repartitionByRange(*(F.col(g) for g in group), *order).withColumn(
+            "_at", F.struct(F.struct(*group).alias("group"), F.spark_partition_id().alias("slice"))
+        ),
         "slices",
     )
-    by_group = Window.partitionBy(*group)
-    before = by_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    # null-safe keys: a missing hierarchy level is a group of its own
-    keys = [*group, "_slice"]
+    by_group = Window.partitionBy("_at.group")
+    before = by_group.orderBy("_at.slice").rowsBetween(Window.unboundedPreceding, -1)
     lifts = (
-        sliced.groupBy(*keys)
+        sliced.groupBy("_at")
         .agg(F.sum(value).alias("_sum"))
         .select(
-            *(F.col(k).alias(f"_at_{k}") for k in keys),
+            "_at",
             F.coalesce(F.sum("_sum").over(before), F.lit(0.0)).alias("_lift"),
             F.sum("_sum").over(by_group).alias(f"{prefix}total"),
         )
     )
-    match = [F.col(k).eqNullSafe(F.col(f"_at_{k}")) for k in keys]
-    joined = sliced.join(lifts, match, "inner").drop(*(f"_at_{k}" for k in keys))
     within = (
-        Window.partitionBy(*group, "_slice")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("_at").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        joined.withColumn(f"{prefix}running", F.col("_lift") + F.sum(value).over(within))
+        sliced.join(lifts, "_at", "inner")
+        .withColumn(f"{prefix}running", F.col("_lift") + F.sum(value).over(within))
         .withColumn(f"{prefix}share", F.try_divide(F.col(f"{prefix}running"), F.col(f"{prefix}total")))
-        .drop("_slice", "_lift")
+        .drop("_at", "_lift")
     )
 
 
