@@ -54,7 +54,7 @@ def main() -> None:
     times: dict[str, float] = {}
 
     roles = Roles(spark, sf_dir)
-    for name in ("cats", "prices", "sales", "total_sales", "inventory", "stats", "fact", "suggested", "weekly_fact"):
+    for name in ("prices", "sales", "total_sales", "inventory", "stats", "fact", "suggested", "weekly_fact"):
         times[f"stage:{name}"] = round(seconds(lambda: getattr(roles, name)), 3)
 
     queries = registered()

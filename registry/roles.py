@@ -49,6 +49,16 @@ class _Once:
         return self._make()
 
 
+class _StagedCatalogues:
+    """The fields of ``Catalogues``, each written when it is first used."""
+
+    def __init__(self, roles: Roles):
+        self._roles = roles
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return self._roles.staged(f"catalogue_{name}", lambda: getattr(self._roles.lazy_cats, name))
+
+
 class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = tune(spark)
@@ -273,13 +283,8 @@ class Roles:
         return self.staged("inventory", lambda: self.lazy_inventory)
 
     @cached_property
-    def cats(self) -> dims.Catalogues:
-        return dims.Catalogues(
-            **{
-                f.name: self.staged(f"catalogue_{f.name}", lambda n=f.name: getattr(self.lazy_cats, n))
-                for f in fields(dims.Catalogues)
-            }
-        )
+    def cats(self) -> _StagedCatalogues:
+        return _StagedCatalogues(self)
 
     def fresh_stats(self) -> CompetitorStats:
         base = stage(look_back_prices(self.prices, self.cats.matrix, RUN_PERIOD, 0, LOOK_BACK), "base_prices")

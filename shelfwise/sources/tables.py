@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -60,9 +61,10 @@ def union_saved(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 def split_export(df: DataFrame, path: str, by: Sequence[str], max_rows_per_file: int = 0) -> None:
     """One folder per value of ``by`` in a single job, instead of one job per value.
 
-    Rows are not shuffled, so a department with most rows is written by many tasks.
+    Rows are rebalanced by ``by``: small folders get one file each, and a department with
+    most rows is still split over many tasks.
     """
-    writer = df.write.mode("overwrite").partitionBy(*by)
+    writer = df.hint("rebalance", *(F.col(c) for c in by)).write.mode("overwrite").partitionBy(*by)
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
     writer.parquet(path)
