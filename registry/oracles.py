@@ -452,7 +452,7 @@ def change_distribution(keys: str) -> str:
 
 
 def shares(group: str, value: str, prefix: str, columns: str) -> str:
-    digits = 2 if prefix == "amount" else None
+    digits = 4 if prefix == "amount" else None
     total = f"sum({value}) OVER (PARTITION BY {group})"
     run = f"""sum({value}) OVER (PARTITION BY {group} ORDER BY {value} DESC, sku, store
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""

@@ -549,11 +549,9 @@ def _totals(r: Roles) -> DataFrame:
 def _shares(r: Roles, group: list[str]) -> DataFrame:
     by_amount = ranking.cumulative_share(_totals(r), group, "total_amount", ["sku", "store"], "amount_")
     keep = [*dict.fromkeys(["sku", "store", *group])]
-    return rounded(
-        by_amount.select(*keep, "amount_total", "amount_running", "amount_share"),
-        "amount_share",
-        "amount_total amount_running",
-    )
+    # amounts lie on a grid of 1e-4, so four digits never cut at a tie
+    columns = ["amount_total", "amount_running", "amount_share"]
+    return rounded(by_amount.select(*keep, *columns), " ".join(columns))
 
 
 @query
