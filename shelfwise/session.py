@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,13 +16,13 @@ ADAPTIVE = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-
-_LOCAL_DIRS: dict[str, str] = {}
+# drops the shuffle files of a write as soon as the written table replaces them
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Set the adaptive options the user has not set themselves."""
-    given = dict(spark.sparkContext.getConf().getAll())
+    """Set the adaptive options the user has not set, neither at start nor at run time."""
+    given = spark.conf.getAll
     for key, value in ADAPTIVE.items():
         if key not in given:
             spark.conf.set(key, value)
@@ -31,22 +30,49 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach; a local one only where none is configured."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _LOCAL_DIRS.setdefault(app, "") or tempfile.mkdtemp(prefix="shelfwise-")
-        _LOCAL_DIRS[app] = folder
-    return folder.rstrip("/")
+    """Folder every executor can reach: the checkpoint folder of the session.
+
+    One given to ``setCheckpointDir`` comes before ``spark.checkpoint.dir``. There is no
+    local fallback: files on one machine are lost to all others.
+    """
+    configured = (spark.conf.get("spark.checkpoint.dir", None) or "").rstrip("/")
+    given = spark.sparkContext.getCheckpointDir() or ""
+    bare = configured.removeprefix("file://").removeprefix("file:")
+    if given and not (bare and bare in given):
+        return given.rstrip("/")
+    if configured:
+        return configured
+    raise ValueError("set spark.checkpoint.dir, or call setCheckpointDir, to a folder all executors share")
+
+
+def stage_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a stage table and return the scan of it.
 
     Stages feed several later plans; reading them back from shared storage cuts the
-    lineage and survives the loss of executors.
+    lineage and survives the loss of executors. ``unstage`` removes one that is done.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
+    path = stage_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Remove stage tables that nothing will read again."""
+    for table in tables:
+        spark = table.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

