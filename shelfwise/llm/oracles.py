@@ -9,3 +9,62 @@ SELECT doc_id,
        text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
+
+_BLOCK, _ROOT = 64, 64
+_PICKED = "((({p}) + first) * remainder // blocks - first * remainder // blocks)"
+_BLOCK_OF = "(({w}) // " + str(_BLOCK) + ")"
+
+
+def _taken(words: str) -> str:
+    block = _BLOCK_OF.format(w=words)
+    before, after = _PICKED.format(p=block), _PICKED.format(p=block + " + 1")
+    return f"(rounds * ({words}) + {_BLOCK} * {before} + (({words}) % {_BLOCK}) * ({after} - {before}))"
+
+
+MIX = f"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+           md5(concat('mix:', coalesce(doc_id::VARCHAR, ''))) AS ticket
+    FROM documents
+), s AS (
+    SELECT *, 2.0::DOUBLE * source_size AS cap, list_extract([3, 1, 2], ((source_no - 1) % 3 + 1)::BIGINT) AS weight,
+           greatest(1, ceil(sqrt(source_size) / {_ROOT}))::BIGINT AS shards
+    FROM (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS source_no
+          FROM d GROUP BY source)
+), l AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - (sum(cap) OVER r - cap)) / sum(weight) OVER f AS level
+    FROM s WINDOW r AS (ORDER BY cap / weight, source_no ROWS UNBOUNDED PRECEDING),
+                  f AS (ORDER BY cap / weight, source_no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), t AS (
+    SELECT *, coalesce(least(cap, (SELECT level FROM l WHERE cap / weight > level ORDER BY cap / weight, source_no LIMIT 1)
+                                  * weight), cap) AS target
+    FROM l
+), seat_count AS (SELECT round(sum(target) / {_BLOCK})::BIGINT AS seats FROM t
+), source_seats AS (
+    SELECT source_no, count(k) AS quota FROM (
+        SELECT source_no, k, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source_no, k) AS n
+        FROM t, seat_count, generate_series(1, seats) AS g(k) WHERE target > 0)
+    WHERE n <= (SELECT seats FROM seat_count) GROUP BY source_no
+), p AS (
+    SELECT d.*, t.source_no, t.source_size, t.target, ('0x' || substr(ticket, 1, 8))::BIGINT % shards AS shard
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), h AS (SELECT source_no, shard, sum(size)::DOUBLE AS votes FROM p GROUP BY ALL
+), shard_seats AS (
+    SELECT source_no, shard, count(*) AS won FROM (
+        SELECT source_no, shard, quota,
+               row_number() OVER (PARTITION BY source_no ORDER BY votes / (2 * k - 1) DESC, shard, k) AS n
+        FROM h JOIN source_seats USING (source_no), generate_series(1, quota) AS g(k) WHERE votes > 0)
+    WHERE n <= quota GROUP BY ALL
+), q AS (
+    SELECT source_no, shard, blocks, first, quota // blocks AS rounds, quota % blocks AS remainder
+    FROM (SELECT *, least(coalesce(won, 0), 2 * blocks) AS quota,
+                 ('0x' || substr(md5(concat('mix:', source_no, ':', shard)), 1, 8))::BIGINT % blocks AS first
+          FROM (SELECT *, greatest(1, ceil(votes / {_BLOCK}))::BIGINT AS blocks FROM h)
+          LEFT JOIN shard_seats USING (source_no, shard))
+), o AS (
+    SELECT p.*, q.blocks, q.first, q.rounds, q.remainder,
+           (sum(size) OVER (PARTITION BY source_no, shard ORDER BY ticket, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT AS until
+    FROM p JOIN q USING (source_no, shard)
+)
+SELECT doc_id, size, source_size, target, {_taken("until")} - {_taken("(until - size)")} AS taken FROM o
+"""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm import oracles
 from shelfwise.llm.exact import exact_copies
+from shelfwise.llm.mixing import mix
 from shelfwise.session import tune
 
 
@@ -17,6 +18,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_exact_dedup,)}
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
 
-ORACLE_SQL = {"op10_exact_dedup": oracles.EXACT_COPIES}
+
+QUERIES = {f.__name__: f for f in (op4_source_mixing, op10_exact_dedup)}
+
+ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
