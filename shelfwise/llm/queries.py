@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.llm import oracles
 from shelfwise.llm.exact import exact_copies
 from shelfwise.llm.mixing import mix
+from shelfwise.llm.packing import pack
 from shelfwise.session import tune
 
 
@@ -18,10 +20,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_table(spark, sf_dir, "documents"))
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_source_mixing, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_source_mixing, op10_exact_dedup)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
