@@ -58,11 +58,12 @@ def boundaries(ends: np.ndarray, sentence_ends: np.ndarray, step: int = STEP) ->
     return every, penalties
 
 
-def plan_cuts(places: np.ndarray, penalties: np.ndarray, size: int = SIZE) -> np.ndarray:
+def plan_cuts(places: np.ndarray, penalties: np.ndarray, size: int = SIZE, last: bool = False) -> np.ndarray:
     """The places of a cheapest partition into sequences of at most ``size``, both ends included.
 
     cost(j) = penalty(j) + size + min cost(i) over places i within ``size`` before j: padding
-    and tokens together are ``size`` per sequence, so fewest sequences is least padding.
+    and tokens together are ``size`` per sequence, so fewest sequences is least padding. The
+    ``last`` sequence of a partition may be split further and costs what ``split_tail`` leaves.
     """
     at, fine = places.tolist(), penalties.tolist()
     cost, came = [0] * len(at), [0] * len(at)
@@ -77,23 +78,32 @@ def plan_cuts(places: np.ndarray, penalties: np.ndarray, size: int = SIZE) -> np
         while queue and cost[queue[-1]] >= own:
             queue.pop()
         queue.append(j)
+    if last:
+        near = range(int(np.searchsorted(places, at[-1] - size)), len(at) - 1)
+        came[-1] = min(near, key=lambda i: cost[i] + _tail(at[-1] - at[i], size)[0])
     cuts = [len(at) - 1]
     while cuts[-1]:
         cuts.append(came[cuts[-1]])
     return places[cuts[::-1]]
 
 
-def split_tail(length: int, size: int = SIZE) -> list[int]:
-    """Lengths a last sequence is split into: powers of two need no padding, each split costs a hard cut."""
+def _tail(length: int, size: int) -> tuple[int, list[int]]:
+    """Tokens, padding and penalties of a last sequence split at powers of two, and the parts.
+
+    A sequence as long as a power of two needs no padding; each split is a hard cut.
+    """
     parts = [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
-    if len(parts) <= 1:
-        return [length]
     choices = []
     for split in range(len(parts)):
         rest = sum(parts[split:])
-        choices.append((split * HARD_CUT + (size - rest if split < len(parts) - 1 else 0), split))
-    split = min(choices)[1]
-    return parts[:split] + [sum(parts[split:])]
+        padding = size - rest if split < len(parts) - 1 else 0
+        choices.append((length + split * HARD_CUT + padding, parts[:split] + [rest]))
+    return min(choices)
+
+
+def split_tail(length: int, size: int = SIZE) -> list[int]:
+    """Lengths a last sequence is split into."""
+    return _tail(length, size)[1]
 
 
 class _Stream:
@@ -117,7 +127,7 @@ class _Stream:
         ids = np.concatenate(self.ids)
         lengths = np.array([total - given for _, given, total in self.docs])
         ends = np.cumsum(lengths)
-        cuts = plan_cuts(*boundaries(ends, np.flatnonzero(ends_sentence[ids]) + 1), self.size)
+        cuts = plan_cuts(*boundaries(ends, np.flatnonzero(ends_sentence[ids]) + 1), self.size, last)
         if last:
             tail = split_tail(int(cuts[-1] - cuts[-2]), self.size)
             cuts = np.concatenate([cuts[:-2], cuts[-2] + np.cumsum([0, *tail])])
