@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm import oracles
 from shelfwise.llm.exact import exact_copies
+from shelfwise.llm.minhash import near_copies
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.packing import pack
 from shelfwise.llm.quality import graded_documents
@@ -17,6 +18,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -35,6 +40,6 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_source_mixing, op8_quality_classifier, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_packing, op4_source_mixing, op5_minhash_near_dedup, op8_quality_classifier, op10_exact_dedup)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
