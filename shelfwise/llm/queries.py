@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import oracles
+from shelfwise.llm.embeddings import near_vectors
 from shelfwise.llm.exact import exact_copies
 from shelfwise.llm.minhash import near_copies
 from shelfwise.llm.mixing import mix
@@ -36,10 +37,20 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_source_mixing, op5_minhash_near_dedup, op8_quality_classifier, op10_exact_dedup)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the top of the repository; it imports this package in turn
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
