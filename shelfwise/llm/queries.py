@@ -12,6 +12,7 @@ from shelfwise.llm.minhash import near_copies
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.packing import pack
 from shelfwise.llm.quality import graded_documents
+from shelfwise.llm.substrings import remove_repeats
 from shelfwise.session import tune
 
 
@@ -23,6 +24,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -51,6 +56,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op7_substring_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
