@@ -63,7 +63,7 @@ def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray,
 
 def _uniform(h: np.ndarray, salt) -> np.ndarray:
     """In (0, 1]."""
-    return ((mix(h, 11) ^ mix(np.asarray(salt, dtype=np.uint64), 12)) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
+    return (mix(h ^ mix(np.asarray(salt, dtype=np.uint64), 12), 11) >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54
 
 
 def signatures(owner: np.ndarray, x: np.ndarray, count: np.ndarray, texts: int, registers: int = REGISTERS) -> np.ndarray:
@@ -102,14 +102,12 @@ def signatures(owner: np.ndarray, x: np.ndarray, count: np.ndarray, texts: int,
             going = soon[:, -1]
             rows, clock = rows[going], t[going, -1]
             point, block = point + block, min(block * 2, 64)
-        slots, names = np.concatenate(slots), np.concatenate(names)
-        latest_first = np.argsort(np.concatenate(times), kind="stable")[::-1]
-        found = np.zeros(texts * registers, dtype=bool)
-        found[slots] = True
-        fresh_values = np.zeros(texts * registers, dtype=np.uint64)
-        fresh_values[slots[latest_first]] = names[latest_first]  # of equal slots the last, so earliest, stays
-        filled = found.reshape(texts, registers).all(axis=1) & open_texts
-        values.reshape(texts, registers)[filled] = fresh_values.reshape(texts, registers)[filled]
+        slots, names, times = np.concatenate(slots), np.concatenate(names), np.concatenate(times)
+        earliest = np.full(texts * registers, np.inf)
+        np.minimum.at(earliest, slots, times)
+        filled = np.isfinite(earliest).reshape(texts, registers).all(axis=1) & open_texts
+        first = (times == earliest[slots]) & filled[slots // registers]
+        values[slots[first]] = names[first]
         open_texts &= ~filled
         patience *= 2
     return values.reshape(texts, registers)
@@ -254,6 +252,9 @@ def _across(buckets: DataFrame) -> DataFrame:
     )
 
 
+# further leaders are tried while the pairs across classes are more than so many for each row of a
+# bucket; then, or after so many turns, all of them are compared
+PAIRS_PER_ROW = 4
 LEADER_TURNS = 8
 
 
@@ -292,7 +293,7 @@ def _classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         if not left:
             break
         turn += 1
-        last = turn >= LEADER_TURNS or left <= 2 * buckets.count()
+        last = turn >= LEADER_TURNS or left <= PAIRS_PER_ROW * everyone.count()
     return classes
 
 

@@ -72,6 +72,23 @@ def test_registers_agree_like_the_weighted_similarity(heavy):
     assert abs((values[0] == values[1]).mean() - want) < 4 * np.sqrt(want * (1 - want) / m)
 
 
+def test_few_registers_are_unbiased_and_independent():
+    rng = np.random.default_rng(8)
+    n, m = 400, 64
+    agree, spread = [], []
+    for _ in range(20):
+        x = rng.integers(0, 1 << 60, (n, 1, 50)).astype(np.uint64)
+        counts = rng.integers(0, 3, (n, 2, 50))
+        owner = np.repeat(np.arange(2 * n), 50)
+        held = counts.reshape(-1) > 0
+        values = signatures(owner[held], np.repeat(x, 2, axis=1).reshape(-1)[held], counts.reshape(-1)[held], 2 * n, m)
+        want = np.minimum(counts[:, 0], counts[:, 1]).sum(axis=1) / np.maximum(counts[:, 0], counts[:, 1]).sum(axis=1)
+        got = (values[0::2] == values[1::2]).mean(axis=1)
+        agree.append((got - want).mean())
+        spread.append(((got - want) ** 2).mean() / (want * (1 - want) / m).mean())
+    assert abs(np.mean(agree)) < 0.003 and 0.9 < np.mean(spread) < 1.1
+
+
 def test_overlaps():
     a = ["a b c d e f g", "", "x", "a a a a a a a a"]
     b = ["b c d e f g h", "z", "x", "a a a a a a"]
