@@ -13,6 +13,7 @@ from shelfwise.llm.mixing import mix
 from shelfwise.llm.packing import pack
 from shelfwise.llm.quality import graded_documents
 from shelfwise.llm.substrings import remove_repeats
+from shelfwise.llm.tokencount import count_documents
 from shelfwise.session import tune
 
 
@@ -42,6 +43,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_documents(_table(spark, sf_dir, "documents"))
+
+
 def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -56,6 +61,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op7_substring_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op7_substring_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}

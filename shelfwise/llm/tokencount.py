@@ -66,6 +66,14 @@ def flat_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "length")
 
 
+def _read(uri: str, since: int, count: int) -> bytes:
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:") :]
+    system, path = pyarrow.fs.FileSystem.from_uri(uri)
+    with system.open_input_file(path) as f:
+        return f.read_at(count, since)
+
+
 def _blocks(files: DataFrame, block_bytes: int) -> DataFrame:
     """(file, block, since, bytes) of every block."""
     last = F.ceil(F.col("length") / block_bytes) - 1
@@ -89,9 +97,7 @@ def _scanned(blocks: DataFrame, end: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                system, path = pyarrow.fs.FileSystem.from_uri(row["file"].replace("file:/", "file:///", 1) if row["file"].startswith("file:/") and not row["file"].startswith("file://") else row["file"])
-                with system.open_input_file(path) as f:
-                    ids = np.frombuffer(f.read_at(row["bytes"], row["since"]), dtype="<u2")
+                ids = np.frombuffer(_read(row["file"], row["since"], row["bytes"]), dtype="<u2")
                 ends = np.flatnonzero(ids == end).astype(np.int64) + 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -153,7 +159,7 @@ def token_counts(
             "file",
             (F.col("documents_before") + F.col("nth")).alias("document"),
             F.when(F.col("nth") == 0, F.col("open_since"))
-            .otherwise(F.col("tokens_before") + F.element_at("ends", F.greatest("nth", F.lit(1))))
+            .otherwise(F.col("tokens_before") + F.expr("element_at(ends, greatest(nth, 1))"))
             .alias("start"),
             (F.col("tokens_before") + F.col("place") - 1).alias("finish"),
             F.lit(True).alias("closed"),
@@ -168,7 +174,7 @@ def token_counts(
         .select(
             "file",
             "document",
-            F.when(F.size("ends") > 0, F.col("tokens_before") + F.element_at("ends", F.greatest(F.size("ends"), F.lit(1))))
+            F.when(F.size("ends") > 0, F.col("tokens_before") + F.expr("element_at(ends, greatest(size(ends), 1))"))
             .otherwise(F.col("open_since"))
             .alias("start"),
             "finish",
@@ -180,13 +186,11 @@ def token_counts(
 
 
 def count_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, start (in its file) and n_tokens, found in flat files of all of them.
+    """Flat files of all documents, one for each partition of their table, and what a scan finds in them.
 
-    The files are written from one listing of the documents, and their order is the listing's:
-    (partition, row) of a document is the (file, document) of its tokens.
+    One row per document: file (the partition's number), document, start, n_tokens, closed.
     """
     spark = docs.sparkSession
-    listed = stage(
-        ids_and_texts(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "listed_documents"
-    )
-    return listed
+    path = stage_path(spark, "flat_tokens")
+    write_flat(ids_and_texts(docs, id_col, text_col), path)
+    return token_counts(spark, path).withColumn("file", F.regexp_extract("file", r"part-(\d+)", 1).cast("int"))
