@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm import oracles
 from shelfwise.llm.embeddings import near_vectors
 from shelfwise.llm.exact import exact_copies
+from shelfwise.llm.lines import near_lines
 from shelfwise.llm.minhash import near_copies
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.packing import pack
@@ -25,6 +26,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = near_lines(_table(spark, sf_dir, "documents"))
+    return lines.withColumn("line_sha256", F.sha2("line", 256)).drop("line")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -61,6 +67,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op7_substring_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op6_line_dedup, op7_substring_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
