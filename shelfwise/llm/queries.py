@@ -14,6 +14,7 @@ from shelfwise.llm.mixing import mix
 from shelfwise.llm.packing import pack
 from shelfwise.llm.quality import graded_documents
 from shelfwise.llm.substrings import remove_repeats
+from shelfwise.llm.suffixes import remove_repeated_bytes
 from shelfwise.llm.tokencount import count_documents
 from shelfwise.session import tune
 
@@ -39,6 +40,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graded_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(_table(spark, sf_dir, "documents")).drop("begins", "ends")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_copies(_table(spark, sf_dir, "documents"))
 
@@ -67,6 +72,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op6_line_dedup, op7_substring_dedup, op8_quality_classifier, op10_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op6_line_dedup, op7_substring_dedup, op8_quality_classifier, op9_suffix_array_dedup, op10_exact_dedup, pipeline)}
 
 ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
