@@ -240,30 +240,47 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``kept_text`` is the kept words joined by one blank, or null if the document keeps them all.
     """
     keyed = _keyed(docs, id_col, text_col)
+    own = ["doc", "part", "words_sha256"]
     parsed = stage(_parsed(keyed), "parsed_words")
-    zones = stage(_places(parsed), "zones")
+    # what an earlier document has word for word goes as a whole and is not looked into
+    earlier = parsed.groupBy("words_sha256").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
+    copies = stage(
+        parsed.select(*own).join(earlier, "words_sha256", "inner").filter("doc > least").select(*own).distinct(), "later_copies"
+    )
+    zones = stage(_places(parsed.join(copies, own, "left_anti")), "zones")
+    stats = stage(parsed.select(*own, "no_id", "n_words"), "word_counts")
+    unstage(parsed)
     candidates = stage(keyed.drop("no_id").join(zones, ["doc", "part"], "inner"), "candidates")
     unstage(zones)
-    windows = stage(_windows(candidates), "windows")
+    # named twice rather than written: the names are many times the texts
     repeated = stage(
-        windows.groupBy("one", "two").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").drop("most"),
+        _windows(candidates)
+        .groupBy("one", "two")
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .filter("least < most")
+        .drop("most"),
         "repeated_windows",
     )
     later = stage(
-        windows.join(repeated, ["one", "two"], "inner")
+        _windows(candidates)
+        .join(repeated, ["one", "two"], "inner")
         .filter("doc > least")
         .groupBy("doc", "part")
         .agg(F.collect_set("one").alias("gone")),
         "later_windows",
     )
-    unstage(windows, repeated)
-    cut = stage(_cut(candidates.join(later, ["doc", "part"], "inner")), "cut_texts")
+    unstage(repeated)
+    cut = stage(_cut(candidates.join(later, ["doc", "part"], "inner")).dropDuplicates(own), "cut_texts")
     unstage(candidates, later)
-    own = ["doc", "part", "words_sha256"]
-    return parsed.join(cut.dropDuplicates(own), own, "left").select(
-        F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"),
-        "n_words",
-        F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("kept_sha256", "words_sha256").alias("kept_sha256"),
-        "kept_text",
+    copy = F.col("copy").isNotNull() & (F.col("n_words") >= WINDOW)
+    return (
+        stats.join(copies.withColumn("copy", F.lit(True)), own, "left")
+        .join(cut, own, "left")
+        .select(
+            F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"),
+            "n_words",
+            F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
+            F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "words_sha256")).alias("kept_sha256"),
+            F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
+        )
     )
