@@ -241,29 +241,35 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         parsed.select(*own).join(least, "sha256", "inner").filter("doc > least").select(*own).distinct(), "later_copies"
     )
     zones = stage(_zones(parsed, later_copies), "byte_zones")
+    stats = stage(parsed.select(*own, "no_id", "n_bytes"), "byte_counts")
+    unstage(parsed)
     candidates = stage(keyed.drop("no_id").join(zones, ["doc", "part"], "inner"), "candidates")
     unstage(zones)
-    suffixes = stage(_suffixes(candidates), "suffixes")
+    # named twice rather than written: the names are many times the texts
     first = stage(
-        suffixes.groupBy("one", "two").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").drop("most"),
+        _suffixes(candidates)
+        .groupBy("one", "two")
+        .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
+        .filter("least < most")
+        .drop("most"),
         "first_suffixes",
     )
     later = stage(
-        suffixes.join(first, ["one", "two"], "inner")
+        _suffixes(candidates)
+        .join(first, ["one", "two"], "inner")
         .filter("doc > least")
         .groupBy("doc", "part")
         .agg(F.collect_set("one").alias("gone")),
         "later_suffixes",
     )
-    unstage(suffixes, first)
+    unstage(first)
     cut = stage(_cut(candidates.join(later, ["doc", "part"], "left")).dropDuplicates(own), "cut_bytes")
     unstage(candidates, later)
     copy = F.col("copy").isNotNull() & (F.col("n_bytes") >= DEPTH)
     zero = F.lit(0).cast("long")
     nothing = F.array().cast("array<long>")
     return (
-        parsed.drop("names", "places")
-        .join(later_copies.withColumn("copy", F.lit(True)), own, "left")
+        stats.join(later_copies.withColumn("copy", F.lit(True)), own, "left")
         .join(cut, own, "left")
         .select(
             F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"),
