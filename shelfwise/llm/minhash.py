@@ -34,12 +34,16 @@ from pyspark.sql import functions as F
 from shelfwise.llm.components import components
 from shelfwise.llm.tables import fresh, ids_and_texts, whole_text
 from shelfwise.llm.wordhash import Texts, chunks, mix, range_hashes, word_hashes
-from shelfwise.session import stage
+from shelfwise.session import stage, unstage
 
 WORDS = 5
 SIMILARITY = (4, 5)  # as a fraction, so comparisons are exact
-BANDS, ROWS = 16, 4
+BANDS, ROWS = 28, 6
 REGISTERS = BANDS * ROWS
+# one bit of each of the first 128 registers; of two texts at the similarity, one bit in ten differs
+# on average, and more than MOST_FLIPS with a probability under 1e-8
+SKETCH_LONGS = 2
+MOST_FLIPS = 36
 
 
 def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -122,6 +126,12 @@ def band_keys(values: np.ndarray, bands: int = BANDS) -> np.ndarray:
     return mix(keys ^ np.arange(bands, dtype=np.uint64)[None, :], 10)
 
 
+def sketch_bits(values: np.ndarray) -> np.ndarray:
+    """``SKETCH_LONGS`` numbers per text, with a bit of each register."""
+    bits = (values[:, : 64 * SKETCH_LONGS] >> np.uint64(33) & np.uint64(1)).reshape(len(values), SKETCH_LONGS, 64)
+    return (bits << np.arange(64, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
+
+
 def overlaps(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """For each pair of texts the sums of the lesser and of the greater counts."""
     both = []
@@ -142,14 +152,15 @@ def overlaps(left: pa.Array, right: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketches(docs: DataFrame) -> DataFrame:
-    """(doc_id, digest, weight, bands) of (doc_id, text)."""
+    """(doc_id, digest, weight, bits, bands) of (doc_id, text)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in chunks(batch.column("text")):
                 n = len(texts.offsets) - 1
                 owner, x, count = shingles(texts)
-                keys = band_keys(signatures(owner, x, count, n))
+                values = signatures(owner, x, count, n)
+                keys, bits = band_keys(values), sketch_bits(values)
                 part = batch.slice(texts.first, n)
                 weight = np.bincount(owner, weights=count, minlength=n).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -157,13 +168,16 @@ def _sketches(docs: DataFrame) -> DataFrame:
                         part.column("doc_id"),
                         part.column("digest"),
                         pa.array(weight),
-                        pa.ListArray.from_arrays(np.arange(n + 1, dtype="i4") * BANDS, pa.array(keys.reshape(-1).view(np.int64))),
+                        *(
+                            pa.ListArray.from_arrays(np.arange(n + 1, dtype="i4") * width, pa.array(c.reshape(-1).view(np.int64)))
+                            for c, width in ((bits, SKETCH_LONGS), (keys, BANDS))
+                        ),
                     ],
-                    names=["doc_id", "digest", "weight", "bands"],
+                    names=["doc_id", "digest", "weight", "bits", "bands"],
                 )
 
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
-    return docs.select("doc_id", digest, "text").mapInArrow(sketch, "doc_id long, digest binary, weight long, bands array<long>")
+    return docs.select("doc_id", digest, "text").mapInArrow(sketch, "doc_id long, digest binary, weight long, bits array<long>, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -196,11 +210,11 @@ def _first() -> Column:
 
 
 def _nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sketches of all rows, and the distinct texts as nodes (node, digest, first, weight, bands)."""
+    """Sketches of all rows, and the distinct texts as nodes (node, digest, first, weight, bits, bands)."""
     sketches = stage(_sketches(docs).withColumn("row", F.monotonically_increasing_id()), "sketches")
     nodes = stage(
         sketches.groupBy("digest")
-        .agg(F.min(_first()).alias("first"), F.first("weight").alias("weight"), F.first("bands").alias("bands"))
+        .agg(F.min(_first()).alias("first"), *(F.first(c).alias(c) for c in ("weight", "bits", "bands")))
         .withColumn("node", F.monotonically_increasing_id()),
         "distinct_texts",
     )
@@ -222,79 +236,61 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame
     )
 
 
-def _similar_weights() -> Column:
-    """Texts whose weights differ more cannot be similar enough."""
-    return F.least("a_weight", "b_weight") * SIMILARITY[1] >= F.greatest("a_weight", "b_weight") * SIMILARITY[0]
+def _may_be_similar() -> Column:
+    """Texts whose weights differ more cannot be similar enough, nor can, but for chance, those with more flips."""
+    flips = sum(
+        F.bit_count(F.col("a_bits").getItem(i).bitwiseXOR(F.col("b_bits").getItem(i))) for i in range(SKETCH_LONGS)
+    )
+    weights = F.least("a_weight", "b_weight") * SIMILARITY[1] >= F.greatest("a_weight", "b_weight") * SIMILARITY[0]
+    return weights & (flips <= MOST_FLIPS)
 
 
-def _with_leaders(buckets: DataFrame, turn: int) -> DataFrame:
-    """Pairs of every text of a bucket and the bucket's leader, which differs from turn to turn."""
-    place = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    leaders = buckets.groupBy("key").agg(F.min(F.struct(place.alias("place"), "node", "weight", "class")).alias("leader"))
+def _with_leaders(buckets: DataFrame) -> DataFrame:
+    """Pairs of every text of a bucket and its least."""
+    leaders = buckets.groupBy("key").agg(F.min(F.struct("node", "weight", "bits", "class")).alias("leader"))
     return buckets.join(leaders, "key", "inner").select(
         F.least("node", "leader.node").alias("a"),
         F.greatest("node", "leader.node").alias("b"),
         F.col("weight").alias("a_weight"),
         F.col("leader.weight").alias("b_weight"),
+        F.col("bits").alias("a_bits"),
+        F.col("leader.bits").alias("b_bits"),
         (F.col("class") != F.col("leader.class")).alias("apart"),
     )
 
 
 def _across(buckets: DataFrame) -> DataFrame:
     """Pairs of texts of different classes in a bucket."""
-    side = lambda c: buckets.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("node", "weight", "class")))
+    side = lambda c: buckets.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("node", "weight", "bits", "class")))
     return side("a").join(side("b"), "key", "inner").select(
         F.col("a_node").alias("a"),
         F.col("b_node").alias("b"),
         "a_weight",
         "b_weight",
+        "a_bits",
+        "b_bits",
         ((F.col("a_class") != F.col("b_class")) & (F.col("a_node") < F.col("b_node"))).alias("apart"),
     )
 
 
-# further leaders are tried while the pairs across classes are more than so many for each row of a
-# bucket; then, or after so many turns, all of them are compared
-PAIRS_PER_ROW = 4
-LEADER_TURNS = 8
-
-
 def _classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have links."""
-    keys = nodes.filter("weight > 0").select(F.explode("bands").alias("key"), "node", "weight")
+    keys = nodes.filter("weight > 0").select(F.explode("bands").alias("key"), "node", "weight", "bits")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    everyone = stage(keys.join(shared, "key", "left_semi"), "buckets")
-    texts = stage(_texts_of(docs, nodes, everyone.select("node").distinct()), "bucket_texts")
-    buckets = everyone.withColumn("class", F.col("node"))
-    tried = stage(everyone.sparkSession.createDataFrame([], "a long, b long"), "tried")
-    links, classes = tried, None
-    turn, last = 0, False
-    while True:
-        pairs = _across(buckets) if last else _with_leaders(buckets, turn)
-        pairs = pairs.filter("apart").filter(_similar_weights()).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(_verified(pairs, texts), "linked")
-        tried, links = tried.unionByName(pairs), links.unionByName(found)
-        classes = components(links)
-        if last:
-            break
-        named = everyone.join(classes, "node", "left").select(
-            "key", "node", "weight", F.coalesce("component", "node").alias("class")
-        )
-        # buckets of one class are done; of the others, count the pairs that are left to try
-        per_class = named.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-        mixed = (
-            per_class.groupBy("key")
-            .agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count(F.lit(1)).alias("classes"))
-            .filter("classes > 1")
-            .select("key", ((F.col("all") * F.col("all") - F.col("within")) / 2).alias("pairs"))
-        )
-        buckets = stage(named.join(mixed, "key", "inner"), "mixed_buckets")
-        left = buckets.groupBy("key").agg(F.first("pairs").alias("pairs")).agg(F.sum("pairs")).first()[0] or 0
-        if not left:
-            break
-        turn += 1
-        last = turn >= LEADER_TURNS or left <= PAIRS_PER_ROW * everyone.count()
-    return classes
+    buckets = stage(keys.join(shared, "key", "left_semi"), "buckets")
+    texts = stage(_texts_of(docs, nodes, buckets.select("node").distinct()), "bucket_texts")
+    pairs = lambda found: found.filter("apart").filter(_may_be_similar()).select("a", "b").distinct()
+    first = stage(pairs(_with_leaders(buckets.withColumn("class", F.col("node")))), "leader_pairs")
+    links = stage(_verified(first, texts), "links")
+    # buckets of one class are done; in the others, all pairs across classes are left to try
+    named = buckets.join(components(links), "node", "left").select(
+        "key", "node", "weight", "bits", F.coalesce("component", "node").alias("class")
+    )
+    mixed = named.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most").select("key")
+    rest = stage(pairs(_across(stage(named.join(mixed, "key", "left_semi"), "mixed_buckets"))), "pairs")
+    more = stage(_verified(rest.join(first, ["a", "b"], "left_anti"), texts), "more_links")
+    unstage(buckets, texts, first, rest)
+    return components(links.unionByName(more))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
