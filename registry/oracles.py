@@ -372,7 +372,7 @@ VIEWS: dict[str, str] = {
         p_type AS dept, 'Dept '||p_type AS dept_name, p_brand AS subdept, 'Sub '||p_brand AS subdept_name,
         p_size%5 AS class_id, p_size AS subclass_id FROM part""",
     "taxes": """SELECT p_partkey AS sku, CASE WHEN p_size%2=0 THEN 160.0 ELSE 0 END::DOUBLE AS iva,
-        CASE WHEN p_size%5=0 THEN 80.0 ELSE 0 END::DOUBLE AS ieps FROM part""",
+        CASE WHEN p_size%5=0 THEN 80.0 ELSE 0 END::DOUBLE AS ieps FROM part WHERE p_size<>13""",
     "matrix": """SELECT DISTINCT store::INT AS store, priority::INT AS priority, p_type AS dept, p_brand AS subdept,
         ((store+priority)%20)::INT AS comp_store, 'S'||CAST((store+priority)%20%3 AS VARCHAR) AS comp_source,
         CASE (store+priority)%20%3 WHEN 0 THEN 'WALMART CORPORATION' WHEN 1 THEN 'BODEGA AURRERA'

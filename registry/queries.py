@@ -527,7 +527,7 @@ def price_change_distribution(r: Roles) -> DataFrame:
 
 @query
 def price_change_by_dept(r: Roles) -> DataFrame:
-    out = rollups.price_change_distribution(r.weekly_fact, ["dept"], accuracy=1_000_000)
+    out = rollups.price_change_distribution(r.weekly_fact, ["dept"])
     return rounded(out, "change_avg")
 
 

@@ -185,7 +185,7 @@ class Roles:
 
     @cached_property
     def raw_taxes(self) -> DataFrame:
-        return self.table("part").select(
+        return self.table("part").filter(F.col("p_size") != 13).select(
             F.col("p_partkey").alias("sku"),
             F.when(F.col("p_size") % 2 == 0, 160.0).alias("iva"),
             F.when(F.col("p_size") % 5 == 0, 80.0).alias("ieps"),

@@ -14,15 +14,17 @@ def one_per_key(
     columns: Sequence[str] | None = None,
     order: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per key: the smallest by ``order``, then by all other columns.
+    """One row per key: the smallest by ``order``, then by all other columns, missing values last.
 
     A plain aggregate, so map tasks reduce each key before anything is shuffled.
     """
     columns = list(columns) if columns else [c for c in df.columns if c not in keys and c not in order]
     ranked = [*order, *(c for c in columns if c not in order)]
+    # a flag before each column, because a struct puts missing values first
+    parts = [part for c in ranked for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
     return (
         df.groupBy(*keys)
-        .agg(F.min(F.struct(*ranked)).alias("_row"))
+        .agg(F.min(F.struct(*parts)).alias("_row"))
         .select(*keys, *(F.col(f"_row.{c}").alias(c) for c in columns))
     )
 

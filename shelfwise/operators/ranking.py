@@ -57,17 +57,58 @@ def cumulative_share(
 
 
 def quantile_cuts(
-    df: DataFrame,
-    group: Sequence[str],
-    values: Sequence[str],
-    shares: Sequence[float],
-    accuracy: int = 10_000,
+    df: DataFrame, group: Sequence[str], values: Sequence[str], shares: Sequence[float]
 ) -> DataFrame:
-    """``{value}_cuts`` array per group. Sketches are merged, so group size is no limit;
-    groups of fewer than ``accuracy`` rows get exact cuts."""
-    probabilities = F.array(*(F.lit(float(s)) for s in shares))
-    return df.groupBy(*group).agg(
-        *(F.percentile_approx(v, probabilities, F.lit(accuracy)).alias(f"{v}_cuts") for v in values)
+    """``{value}_cuts`` array per group: for each share the first value that at least so much of the group reaches.
+
+    Exact for groups of any size. Equal values are counted first; the counts are range
+    partitioned by group and value, summed inside slices and lifted by the slices before, so
+    no window spans a group. Missing values do not count; a group without any has a null array.
+    """
+    long = df.select(
+        F.struct(*group).alias("_group"),
+        F.explode(F.array(*(F.struct(F.lit(i).alias("of"), F.col(v).cast("double").alias("value")) for i, v in enumerate(values)))).alias("_v"),
+    ).select("_group", F.col("_v.of").alias("_of"), F.col("_v.value").alias("_value"))
+    cuts = _cuts_of_groups(long.filter("_value IS NOT NULL"), shares)
+    by_group = cuts.groupBy("_group").agg(
+        *(F.max(F.when(F.col("_of") == i, F.col("_cuts"))).alias(f"{v}_cuts") for i, v in enumerate(values))
+    )
+    return by_group.select(*(F.col(f"_group.{g}").alias(g) for g in group), *(f"{v}_cuts" for v in values))
+
+
+def _cuts_of_groups(long: DataFrame, shares: Sequence[float]) -> DataFrame:
+    """(_group, _of, _cuts) of the values (_group, _of, _value)."""
+    counted = long.groupBy("_group", "_of", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    sliced = stage(
+        counted.repartitionByRange("_group", "_of", "_value").withColumn("_slice", F.spark_partition_id()), "value_slices"
+    )
+    part = ["_group", "_of"]
+    by_part = Window.partitionBy(*part)
+    before = by_part.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    lifts = (
+        sliced.groupBy(*part, "_slice")
+        .agg(F.sum("_n").alias("_sum"))
+        .select(*part, "_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_lift"), F.sum("_sum").over(by_part).alias("_all"))
+    )
+    within = Window.partitionBy(*part, "_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # share s of n values is reached by the value of rank n - floor(n - s * n), and at least the first
+    wanted = F.array(
+        *(
+            F.struct(
+                F.lit(i).alias("nth"),
+                F.greatest(F.lit(1), F.col("_all") - F.floor(F.col("_all") - F.col("_all") * float(s))).alias("rank"),
+            )
+            for i, s in enumerate(shares)
+        )
+    )
+    reached = F.filter(wanted, lambda w: (w["rank"] > F.col("_until") - F.col("_n")) & (w["rank"] <= F.col("_until")))
+    return (
+        sliced.join(lifts, [*part, "_slice"], "inner")
+        .withColumn("_until", F.col("_lift") + F.sum("_n").over(within))
+        .select(*part, "_value", F.explode(reached).alias("_w"))
+        .groupBy(*part)
+        .agg(F.array_sort(F.collect_list(F.struct(F.col("_w.nth"), "_value"))).alias("_cuts"))
+        .select(*part, F.col("_cuts._value").alias("_cuts"))
     )
 
 
@@ -77,21 +118,23 @@ def decile_of(value: Column, cuts: Column) -> Column:
 
 
 def deciles_by_level(
-    totals: DataFrame,
-    levels: Sequence[str],
-    measures: Sequence[str],
-    store: str = "store",
-    accuracy: int = 10_000,
+    totals: DataFrame, levels: Sequence[str], measures: Sequence[str], store: str = "store"
 ) -> DataFrame:
-    """Deciles of every measure inside store × each prefix of the hierarchy ``levels``."""
+    """Deciles of every measure inside store × each prefix of the hierarchy ``levels``.
+
+    The cuts of all levels are found in one pass, with the levels below as missing.
+    """
     shares = [i / 10 for i in range(1, 10)]
+    keys = [store, *levels]
+    depths = range(1, len(levels) + 1)
+    at_depth = lambda d: F.struct(F.lit(d).alias("_depth"), *(F.col(k) if i <= d else F.lit(None).cast(totals.schema[k].dataType).alias(k) for i, k in enumerate(keys)))
+    stacked = totals.select(F.explode(F.array(*(at_depth(d) for d in depths))).alias("_key"), *measures).select("_key.*", *measures)
+    cuts = stage(quantile_cuts(stacked, ["_depth", *keys], measures, shares), "level_cuts")
     out = totals
-    for depth, level in enumerate(levels, start=1):
-        keys = [store, *levels[:depth]]
-        cuts = quantile_cuts(totals, keys, measures, shares, accuracy)
-        out = out.join(cuts, keys, "inner")
-        for measure in measures:
-            out = out.withColumn(
-                f"{measure}_decile_{level}", decile_of(F.col(measure), F.col(f"{measure}_cuts"))
-            ).drop(f"{measure}_cuts")
+    for depth, level in zip(depths, levels):
+        own = keys[: depth + 1]
+        renamed = cuts.filter(F.col("_depth") == depth).select(*own, *(F.col(f"{m}_cuts").alias(f"_{m}") for m in measures))
+        out = out.join(renamed, own, "inner").withColumns(
+            {f"{m}_decile_{level}": decile_of(F.col(m), F.col(f"_{m}")) for m in measures}
+        ).drop(*(f"_{m}" for m in measures))
     return out

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.weeks import week_before
 from shelfwise.operators.picks import top_per_key, top_rows
+from shelfwise.operators.ranking import quantile_cuts
 
 NINE_KEYS = [
     "period", "region", "dept", "subdept", "national_decile",
@@ -59,28 +60,25 @@ def rollup_flags(rolled: DataFrame) -> DataFrame:
     )
 
 
-def price_change_distribution(fact: DataFrame, keys: Sequence[str], accuracy: int = 10_000) -> DataFrame:
-    """Relative distance of current competitor prices from the store median, per key.
-
-    The sketch is merged across tasks; keys of fewer than ``accuracy`` rows are exact.
-    """
+def price_change_distribution(fact: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Relative distance of current competitor prices from the store median, per key, with exact cuts."""
     now = F.try_divide("comp_sales_now", "units")
     change = F.try_divide(now - F.col("hist_median"), F.col("hist_median"))
-    cuts = F.percentile_approx("change", F.array(*(F.lit(i / 10) for i in range(11))), F.lit(accuracy))
-    out = (
-        fact.withColumn("change", change)
-        .groupBy(*keys)
-        .agg(
-            F.min("dept_name").alias("dept_name"),
-            F.avg("change").alias("change_avg"),
-            F.min("change").alias("change_min"),
-            F.max("change").alias("change_max"),
-            cuts.alias("_cuts"),
-        )
+    rows = fact.select(*keys, "dept_name", change.alias("change"))
+    plain = rows.groupBy(*keys).agg(
+        F.min("dept_name").alias("dept_name"),
+        F.avg("change").alias("change_avg"),
+        F.min("change").alias("change_min"),
+        F.max("change").alias("change_max"),
+    )
+    # missing keys are a group as well
+    same = lambda side: F.struct(*(F.col(f"{side}.{k}") for k in keys))
+    cuts = quantile_cuts(rows, keys, ["change"], [i / 10 for i in range(11)])
+    return (
+        plain.alias("p")
+        .join(cuts.alias("c"), same("p") == same("c"), "left")
+        .select("p.*", *(F.col("c.change_cuts")[i].alias(f"p{i}0") for i in (0, 1, 2, 8, 9)))
     )
-    for i in (0, 1, 2, 8, 9):
-        out = out.withColumn(f"p{i}0", F.col("_cuts")[i])
-    return out.drop("_cuts")
 
 
 def store_period_coverage(sales: DataFrame, stores: DataFrame, periods: Sequence[int]) -> DataFrame:

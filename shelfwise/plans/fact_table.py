@@ -25,6 +25,7 @@ from shelfwise.operators.matching import (
 )
 from shelfwise.operators.pricestats import FORMAT_PERCENTILES, price_stats
 from shelfwise.plans.competitor_stats import CompetitorStats
+from shelfwise.session import stage
 
 DEFAULT_TARGET_MARGIN = 0.17
 HIERARCHY = ["dept", "subdept", "class_id", "subclass_id"]
@@ -176,7 +177,9 @@ def fact_table(
     ``universe``: an inventory snapshot whose (store, sku) pairs are used instead of the
     sales lines. ``rebase`` puts week numbers into the year of ``period``.
     """
-    lines = sales_lines(sales, sku_terms(cats), universe)
+    # written once: the choice of competitor, the rows and the statistics by format start from them.
+    # The choice comes before taxes, which drop articles that have none.
+    lines = stage(sales_lines(sales, cats.skus.select("sku", "upc", *HIERARCHY), universe), "sales_lines")
     then = week_prices(prices, week_before(period, 2), "comp_price")
     now = week_prices(prices, period, "comp_price_now")
 
@@ -195,12 +198,12 @@ def fact_table(
         lines.join(central, ["sku", "store"], "left")
         .join(cats.store_deciles, ["sku", "store"], "left")
         .join(picked, ["store", "upc", "dept", "subdept"], "inner")
+        .join(sku_terms(cats).drop("upc", *HIERARCHY), "sku", "inner")
     )
     fact = fact_metrics(rows, fill_with_mode).select(*FACT_COLUMNS, "store_decile", "national_decile")
     if rebase:
         fact = fact.withColumn("period", rebase_week(F.col("period"), period // 100))
-    plain_lines = sales_lines(sales, cats.skus.select("sku", "upc", *HIERARCHY), universe)
-    by_format = sales_price_stats_by_format(plain_lines, cats.stores)
+    by_format = sales_price_stats_by_format(lines, cats.stores)
     return (
         fact.join(cats.stores, "store", "inner")
         .join(by_format, ["sku", "upc", "format"], "left")

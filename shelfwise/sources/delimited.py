@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,26 +62,51 @@ def read_delimited(
 ) -> DataFrame:
     """Files with a heading line, separated by ``|``. Types come from ``schema``, never inferred.
 
-    All files of one call must share their heading line.
+    Every file is read by its own heading: files that share one are a scan, and the scans are
+    a union. Without any file the result is empty and has the columns of ``schema``.
     """
-    reader = spark.read.options(**delimited_options(null_marker, comment))
-    if file_glob:
-        reader = reader.option("pathGlobFilter", file_glob)
-    raw = reader.csv(path)
-    if with_file_name:
-        raw = raw.select("*", F.col("_metadata.file_name").alias("_file"))
-    return apply_schema(raw, schema)
+    options = delimited_options(null_marker, comment)
+    scans = []
+    for files in _by_heading(spark, path, file_glob, comment):
+        # a file that changes in the meantime fails instead of mixing up its columns
+        raw = spark.read.options(**options, enforceSchema="false").csv(files)
+        if with_file_name:
+            raw = raw.select("*", F.col("_metadata.file_name").alias("_file"))
+        scans.append(apply_schema(raw, schema))
+    if not scans:
+        extra = [T.StructField("_file", T.StringType())] if with_file_name else []
+        return spark.createDataFrame([], T.StructType([*schema.fields, *extra]))
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _by_heading(
+    spark: SparkSession, path: str | Sequence[str], file_glob: str | None, comment: str | None
+) -> list[list[str]]:
+    """The files of a folder, those with the same heading together; only names reach the driver."""
+    reader = spark.read.option("pathGlobFilter", file_glob) if file_glob else spark.read
+    # the heading is the first line of a file's first block
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
+    ).filter((F.col("_metadata.file_block_start") == 0) & (F.length("value") > 0))
+    if comment is not None:
+        lines = lines.filter(~F.col("value").startswith(comment))
+    headings = lines.groupBy("file").agg(F.min_by("value", "at").alias("heading"))
+    grouped = headings.groupBy("heading").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    return [row.files for row in grouped.orderBy("heading").collect()]
+
+
+def _weeks_glob(prefix: str, periods: Sequence[int]) -> str:
+    return f"{prefix}{{{','.join(str(p) for p in periods)}}}.csv"
 
 
 def read_sales(spark: SparkSession, root: str, periods: Sequence[int], raw: bool = False) -> DataFrame:
     """Sales of the given weeks. A week without a file gives no rows.
 
-    Only the files of those weeks are listed into the scan. ``raw`` keeps the closing stock.
+    Only the files of those weeks are opened. ``raw`` keeps the closing stock.
     """
-    names = [f"ventas{p}.csv" for p in periods]
     sales = read_delimited(
-        spark, f"{root}/ventas", schemas.SALES, file_glob="ventas*.csv", with_file_name=True
-    ).filter(F.col("_file").isin(names))
+        spark, f"{root}/ventas", schemas.SALES, file_glob=_weeks_glob("ventas", periods), with_file_name=True
+    )
     year = (F.regexp_extract("_file", FEED_FILE, 2).cast("int") / 100).cast("int")
     sales = sales.withColumn("period", year * 100 + F.pmod("period", F.lit(100))).drop("_file")
     return sales if raw else sales.drop("closing_stock")
@@ -113,23 +139,23 @@ def read_competitor_prices(
 ) -> DataFrame:
     """Competitor prices of the given weeks from all feeds.
 
-    Feeds head their columns differently, so each feed is one multi-file scan; the list of
-    feeds is read from the file names. ``suffix`` is added to store, price and source.
+    Feeds head their columns differently; each file is read by its own heading. ``suffix`` is
+    added to store, price and source.
     """
-    folder = f"{root}/preciosCompetencia"
-    sources = feed_inventory(spark, folder).filter(F.col("period").isin(list(periods)))
-    out = spark.createDataFrame(
-        [], "period int, upc long, comp_store int, comp_price double, comp_source string"
+    files = read_delimited(
+        spark,
+        f"{root}/preciosCompetencia",
+        schemas.COMPETITOR_PRICES,
+        file_glob=_weeks_glob("*", periods),
+        with_file_name=True,
+    ).filter(F.col("_file").rlike(FEED_FILE))
+    out = files.select(
+        F.regexp_extract("_file", FEED_FILE, 2).cast("int").alias("period"),
+        "upc",
+        "comp_store",
+        "comp_price",
+        F.regexp_extract("_file", FEED_FILE, 1).alias("comp_source"),
     )
-    for (source,) in sources.select("source").distinct().orderBy("source").collect():
-        names = [f"{source}{p}.csv" for p in periods]
-        feed = read_delimited(
-            spark, folder, schemas.COMPETITOR_PRICES, file_glob=f"{source}*.csv", with_file_name=True
-        ).filter(F.col("_file").isin(names))
-        period = F.regexp_extract("_file", FEED_FILE, 2).cast("int").alias("period")
-        out = out.unionByName(
-            feed.select(period, "upc", "comp_store", "comp_price", F.lit(source).alias("comp_source"))
-        )
     if suffix:
         out = out.withColumnsRenamed(
             {c: c + suffix for c in ("comp_store", "comp_price", "comp_source")}

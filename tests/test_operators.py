@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 from collections import Counter, defaultdict
@@ -75,7 +76,7 @@ def test_latest_rows_keep_ties(table):
 
 def test_one_per_key_is_one_whole_row(table):
     df = table("k int, a string, b int", (1, "y", 1), (1, "x", 2), (1, None, 3), (2, "z", 4))
-    assert as_set(picks.one_per_key(df, ["k"]), "k", "a", "b") == {(1, None, 3), (2, "z", 4)}
+    assert as_set(picks.one_per_key(df, ["k"]), "k", "a", "b") == {(1, "x", 2), (2, "z", 4)}
     assert as_set(picks.one_per_key(df, ["k"], ["a"], ["b"]), "k", "a") == {(1, "y"), (2, "z")}
 
 
@@ -272,3 +273,20 @@ def test_rollups(table):
     )
     top = rollups.top_skus_per_decile(fact)
     assert as_set(top, "decile", "place", "sku") == {(1, 1, 2), (1, 2, 3), (2, 1, 6)}
+
+
+def test_one_per_key_takes_missing_values_last(table):
+    rows = table("sku long, exception string", (1, "EXC"), (1, None), (2, None))
+    assert as_set(picks.one_per_key(rows, ["sku"]), "sku", "exception") == {(1, "EXC"), (2, None)}
+
+
+@pytest.mark.parametrize("rows", [9_000, 100_000])
+def test_cuts_are_exact_in_large_groups(spark, rows):
+    values = spark.range(rows).selectExpr("CASE WHEN id % 10 = 0 THEN NULL ELSE 'g' END AS g", "double(id * 7919 % 100003) AS v", "double(id % 13) AS w")
+    shares = [i / 10 for i in range(11)]
+    out = {r.g: r for r in ranking.quantile_cuts(values, ["g"], ["v", "w"], shares).collect()}
+    for g in ("g", None):
+        for v in ("v", "w"):
+            held = sorted(r[v] for r in values.collect() if r.g == g)
+            n = len(held)
+            assert out[g][f"{v}_cuts"] == [held[max(1, math.ceil(round(s * n, 6))) - 1] for s in shares]

@@ -133,3 +133,19 @@ def test_split_and_union(spark, table, tmp_path):
 def test_headings_cover_every_schema():
     names = {f.name for s in vars(schemas).values() if isinstance(s, T.StructType) for f in s}
     assert names == set(schemas.HEADINGS)
+
+
+def test_each_file_by_its_own_heading(spark, tmp_path):
+    folder = tmp_path / "preciosCompetencia"
+    folder.mkdir()
+    (folder / "ba_201801.csv").write_text("# note\nshop|barcode|pr\n5|123|9.9\n")
+    (folder / "ba_201802.csv").write_text("barcode|pr|shop\n123|8.8|5\n")
+    out = delimited.read_competitor_prices(spark, str(tmp_path), [201801, 201802])
+    assert as_set(out, "period", "upc", "comp_store", "comp_price") == {(201801, 123, 5, 9.9), (201802, 123, 5, 8.8)}
+    assert out.count() == 2
+
+
+def test_no_files_give_an_empty_table(spark, tmp_path):
+    (tmp_path / "ventas").mkdir()
+    sales = delimited.read_sales(spark, str(tmp_path), [201801])
+    assert sales.count() == 0 and {"period", "sku", "store", "units"} <= set(sales.columns)
