@@ -43,6 +43,9 @@ NEIGHBOURS = 4
 assert WINDOW - 2 * (SPAN - 1) * (1 + PAIR_ROUNDS) >= SPAN * (GROUP + NEIGHBOURS - 2) + 1
 
 _LAST = (1 << 63) - 1
+# first word and number of words of an anchor as one number
+PLACE = 32
+assert SPAN * GROUP < PLACE
 
 
 def recompress(names: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -133,20 +136,20 @@ def _parsed(docs: DataFrame) -> DataFrame:
                         *(part.column(c) for c in ("doc", "part", "no_id")),
                         pa.array(count),
                         pa.array(digests),
-                        *lists(of, names.view(np.int64), word(begin), word(begin) + (end - begin).astype("i4")),
+                        *lists(of, names.view(np.int64), word(begin) * PLACE + (end - begin).astype("i4")),
                         *lists(got[1][runs], word(got[2][runs]), word(got[2][runs]) + got[3][runs].astype("i4")),
                     ],
-                    names=["doc", "part", "no_id", "n_words", "words_sha256", "names", "begins", "ends", "run_begins", "run_ends"],
+                    names=["doc", "part", "no_id", "n_words", "words_sha256", "names", "places", "run_begins", "run_ends"],
                 )
 
-    columns = "doc long, part long, no_id boolean, n_words long, words_sha256 string, names array<long>, begins array<int>, ends array<int>, run_begins array<int>, run_ends array<int>"
+    columns = "doc long, part long, no_id boolean, n_words long, words_sha256 string, names array<long>, places array<int>, run_begins array<int>, run_ends array<int>"
     return docs.mapInArrow(parse, columns)
 
 
 def _places(parsed: DataFrame) -> DataFrame:
     """(doc, part, begins, ends): per document the first windows to compare, and the last, by stretch."""
-    listed = parsed.select("doc", "part", F.explode(F.arrays_zip("names", "begins", "ends")).alias("a")).select(
-        "doc", "part", F.col("a.names").alias("name"), F.col("a.begins").alias("begin"), F.col("a.ends").alias("end")
+    listed = parsed.select("doc", "part", F.explode(F.arrays_zip("names", "places")).alias("a")).select(
+        "doc", "part", F.col("a.names").alias("name"), F.col("a.places").alias("place")
     )
     shared = stage(
         listed.groupBy("name").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("name"),
@@ -156,7 +159,10 @@ def _places(parsed: DataFrame) -> DataFrame:
         "doc", "part", (F.col("r.run_begins") - WINDOW + 1).alias("since"), F.col("r.run_ends").alias("until")
     )
     around = listed.join(shared, "name", "inner").select(
-        "doc", "part", (F.col("end") - WINDOW).alias("since"), (F.col("begin") + 1).alias("until")
+        "doc",
+        "part",
+        F.expr(f"int(place div {PLACE}) + place % {PLACE} - {WINDOW}").alias("since"),
+        F.expr(f"int(place div {PLACE}) + 1").alias("until"),
     )
     return (
         around.unionByName(runs)
@@ -184,7 +190,7 @@ def _each_text(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, bytes]]
 
 
 def _windows(candidates: DataFrame) -> DataFrame:
-    """(one, two, doc, part) of every window in the zones of the candidates."""
+    """(one, two, doc, part) of every window in the zones of the candidates, named by 64 and 32 bits."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,19 +200,20 @@ def _windows(candidates: DataFrame) -> DataFrame:
                     continue
                 held = _covered(since[i].values.to_numpy(), until[i].values.to_numpy(), len(names) - WINDOW + 1)
                 one, two = window_hashes(names)
-                one, two = np.unique(np.stack([one[held], two[held]]), axis=1)
+                one, first = np.unique(one[held], return_index=True)
+                two = (two[held][first] >> np.uint64(32)).astype("u4")
                 row = pa.array(np.full(len(one), i))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int64)),
+                        pa.array(two.view(np.int32)),
                         batch.column("doc").take(row),
                         batch.column("part").take(row),
                     ],
                     names=["one", "two", "doc", "part"],
                 )
 
-    return candidates.select("doc", "part", "text", "since", "until").mapInArrow(hashed, "one long, two long, doc long, part long")
+    return candidates.select("doc", "part", "text", "since", "until").mapInArrow(hashed, "one long, two int, doc long, part long")
 
 
 def _cut(repeats: DataFrame) -> DataFrame:

@@ -165,7 +165,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _suffixes(candidates: DataFrame) -> DataFrame:
-    """(one, two, doc, part) of the distinct suffixes that hold an anchor, by document."""
+    """(one, two, doc, part) of the distinct suffixes that hold an anchor, by document, named by 64 and 32 bits."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,19 +175,19 @@ def _suffixes(candidates: DataFrame) -> DataFrame:
                     continue
                 held = _held(batch.column("places")[i].values.to_numpy(), len(one))
                 one, first = np.unique(one[held], return_index=True)
-                two = suffix_names(data, 1)[held][first]
+                two = (suffix_names(data, 1)[held][first] >> np.uint64(32)).astype("u4")
                 row = pa.array(np.full(len(one), i))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int64)),
+                        pa.array(two.view(np.int32)),
                         batch.column("doc").take(row),
                         batch.column("part").take(row),
                     ],
                     names=["one", "two", "doc", "part"],
                 )
 
-    return candidates.select("doc", "part", "text", "places").mapInArrow(name, "one long, two long, doc long, part long")
+    return candidates.select("doc", "part", "text", "places").mapInArrow(name, "one long, two int, doc long, part long")
 
 
 def _cut(candidates: DataFrame) -> DataFrame:
