@@ -18,13 +18,14 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.tables import fresh, ids_and_texts, whole_text
-from shelfwise.llm.wordhash import Texts, chunks, mix, range_hashes, word_hashes
+from shelfwise.llm.wordhash import Texts, chunks, mix, word_hashes
+from shelfwise.session import stage
 
 SAMPLE = 20_000
 GRADES = 3
@@ -187,6 +188,25 @@ def graded(labels: DataFrame) -> DataFrame:
     )
 
 
+def _telling_features(rows: DataFrame) -> np.ndarray:
+    """``telling`` as a Spark aggregate, so that only features of use reach the driver."""
+    shares = {r.grade: r["count"] for r in rows.groupBy("grade").count().collect()}
+    n = sum(shares.values())
+    counted = (
+        rows.select("grade", F.explode("features").alias("feature"))
+        .groupBy("feature")
+        .agg(F.count(F.lit(1)).alias("inside"), *(F.count_if(F.col("grade") == g).alias(f"got_{g}") for g in range(GRADES)))
+        .filter((F.col("inside") >= LEAST_DOCUMENTS) & (F.col("inside") < n))
+    )
+    contrast = F.lit(False)
+    for g in range(GRADES):
+        share = shares.get(g, 0) / max(n, 1)
+        spread = F.sqrt(F.greatest(F.col("inside") * (share * (1 - share)) * (1 - F.col("inside") / max(n, 1)), F.lit(1e-9)))
+        contrast = contrast | (F.abs(F.col(f"got_{g}") - F.col("inside") * share) >= LEAST_CONTRAST * spread)
+    found = counted.filter(contrast).select("feature").toPandas()["feature"]
+    return np.sort(found.to_numpy(dtype=np.int32))
+
+
 def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on at most ``sample`` documents of ``grades`` (doc_id, grade).
 
@@ -205,15 +225,29 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str
                     names=["doc_id", "grade", "features"],
                 )
 
-    rows = (
+    # a repeated document counts once
+    rows = stage(
         ids_and_texts(docs, id_col, text_col)
         .join(F.broadcast(chosen), "doc_id", "inner")
         .mapInArrow(features, "doc_id long, grade int, features array<int>")
-        .toPandas()
-        .sort_values("doc_id", kind="stable")
+        .dropDuplicates(["doc_id"]),
+        "graded_features",
     )
-    # a repeated document counts once
-    rows = rows.drop_duplicates("doc_id")
+    known = _telling_features(rows)
+
+    def only_known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column("features")
+            flat, first = column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pa.compute.list_value_length(column))])
+            held = np.isin(flat, known)
+            kept = np.concatenate([[0], np.cumsum(held)])[first]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("grade"), pa.ListArray.from_arrays(kept.astype("i4"), pa.array(flat[held]))],
+                names=["doc_id", "grade", "features"],
+            )
+
+    few = rows.mapInArrow(only_known, "doc_id long, grade int, features array<int>").toPandas()
+    rows = few.sort_values("doc_id", kind="stable")
     return fit([np.asarray(f, dtype=np.uint32) for f in rows["features"]], rows["grade"].to_numpy(dtype=np.int64))
 
 
