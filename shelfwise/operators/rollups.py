@@ -35,8 +35,17 @@ def as_sales(sums: DataFrame) -> DataFrame:
 
 
 def rollup_nine_keys(fact: DataFrame) -> DataFrame:
+    """Sums and counts of articles and stores.
+
+    Rows are summed by article and store first, so the distinct counts multiply these only.
+    """
     summed = ["amount", "amount_gross", "comp_sales", "comp_sales_now", "comp_now_minus_sales", "units"]
-    return fact.groupBy(*NINE_KEYS).agg(
+    pairs = fact.groupBy(*NINE_KEYS, "upc", "store").agg(
+        F.min("dept_name").alias("dept_name"),
+        F.min("subdept_name").alias("subdept_name"),
+        *(F.sum(c).alias(c) for c in summed),
+    )
+    return pairs.groupBy(*NINE_KEYS).agg(
         F.min("dept_name").alias("dept_name"),
         F.min("subdept_name").alias("subdept_name"),
         *(F.sum(c).alias(f"sum_{c}") for c in summed),

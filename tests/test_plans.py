@@ -95,9 +95,12 @@ def test_hot_group_is_sliced(spark, table):
         spark.conf.set(setting, "true")
 
 
-def test_deciles_reuse_the_totals(roles):
+def test_deciles_find_all_cuts_in_one_written_pass(roles):
     totals = rollups.sales_sum_weeks(roles.sales, roles.cats.skus, 200144, 400)
-    out = ranking.deciles_by_level(totals, ["dept", "subdept"], ["total_amount"])
-    execution = out._jdf.queryExecution()
-    execution.toRdd().count()
-    assert "ReusedExchange" in execution.executedPlan().toString()
+    plan = plan_of(ranking.deciles_by_level(totals, ["dept", "subdept"], ["total_amount"]))
+    assert "level_cuts" in plan and "Window" not in plan and "percentile" not in plan
+
+
+def test_nine_keys_count_distinct_on_reduced_rows(roles):
+    plan = plan_of(rollups.rollup_nine_keys(roles.fact))
+    assert "partial_sum(amount" in plan[plan.index("Expand") :], "sums by article and store come before the expansion"
