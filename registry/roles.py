@@ -24,7 +24,6 @@ from shelfwise.session import stage, tune
 # last week on record; the look-back reaches before the first, so runs use all weeks
 RUN_PERIOD = 200144
 LOOK_BACK = 400
-WEEKS_ON_RECORD = 357
 STORES = 20
 
 _STAGED: dict[tuple, DataFrame] = {}

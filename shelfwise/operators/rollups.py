@@ -90,8 +90,15 @@ def price_change_distribution(fact: DataFrame, keys: Sequence[str]) -> DataFrame
     )
 
 
-def store_period_coverage(sales: DataFrame, stores: DataFrame, periods: Sequence[int]) -> DataFrame:
-    """Row count of every catalogue store in each of ``periods``, null where a store is missing."""
+def store_period_coverage(
+    sales: DataFrame, stores: DataFrame, periods: Sequence[int] | None = None
+) -> DataFrame:
+    """Row count of every catalogue store in each of ``periods``, null where a store is missing.
+
+    Without ``periods`` all weeks of ``sales`` count; these few numbers are read first.
+    """
+    if periods is None:
+        periods = [r.period for r in sales.select("period").distinct().orderBy("period").collect()]
     counts = sales.groupBy("store", "period").agg(F.count(F.lit(1)).alias("rows"))
     weeks = F.array(*(F.lit(p) for p in periods))
     grid = stores.select("store").distinct().withColumn("period", F.explode(weeks))
