@@ -32,8 +32,8 @@ GRADES = 3
 # features are numbered by 24 bits of their hash; those in fewer sampled documents, or as
 # frequent in every grade within this many standard errors, carry no weight
 FEATURE_BITS = 24
-LEAST_DOCUMENTS = 6
-LEAST_CONTRAST = 6.0
+LEAST_DOCUMENTS = 4
+LEAST_CONTRAST = 5.0
 STEPS = 300
 RATE = 0.05
 SHRINK = 2e-5
