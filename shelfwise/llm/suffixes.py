@@ -2,7 +2,7 @@
 
 Only suffixes up to ``DEPTH`` bytes matter, and only whether they are equal. Positions that are
 1 or 2 modulo 3 are the sample. Their triples of bytes are named, and the names recursively in
-triples again, for 9, 27 and 81 bytes; two of these names, overlapping, name ``DEPTH`` bytes.
+triples again, for 9, 27 and 81 bytes; names of 81, 9 and 9 bytes and a last byte name ``DEPTH`` of them.
 The remaining positions are merged in by their first byte and the names of the next sampled
 ones. Names are fingerprints that can be put together from those of parts, so a name hangs on
 the bytes alone and suffixes of all three kinds compare, on every machine, without a shuffle
@@ -74,8 +74,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def suffix_names(data: np.ndarray, turn: int) -> np.ndarray:
     """A name for the first ``DEPTH`` bytes of every suffix of one text that has as many.
 
-    Kind k of a position is its remainder by 3. A name of parts u, v of which v begins after
-    L bytes is u + B ** L * v; overlaps are taken off by the name of the overlap.
+    The kind of a position is its remainder by 3. The name of parts u and v, of which v begins
+    after L bytes, is u + B ** L * v.
     """
     n = len(data) - DEPTH + 1
     if n <= 0:
