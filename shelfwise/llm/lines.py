@@ -1,13 +1,16 @@
 """Lines that differ by few edits, by a segment-partition join.
 
 Distinct lines are linked when at most ``EDITS`` insertions, deletions or substitutions of
-characters lead from one to the other; lines under ``LEAST_LENGTH`` characters are linked
-with none. A line is cut into ``EDITS + 1`` even segments. Of two linked lines the shorter has
-a segment that no edit touches, and the longer holds it nearly where it was; so segments are
-indexed by length, number and content, and a line probes the index with its substrings of
-segment length whose shift the edits before and after can explain. What meets is compared by
-the parities of its character counts, inside the join, and then by a banded bit-parallel
-edit distance. Classes are what links connect.
+characters lead from one to the other, whatever their lengths. A line is cut into ``EDITS + 1``
+even segments. Of two linked lines the shorter has a segment that no edit touches, and the
+longer holds it nearly where it was; so segments are indexed by length, number and content, and
+a line probes the index with its substrings of segment length whose shift the edits before and
+after can explain. Lines too short for segments of ``LEAST_SEGMENT`` characters, and those up to
+``EDITS`` longer, meet instead by what is left of them after at most ``EDITS`` deletions: two
+linked lines have such a rest in common. What meets is compared by the parities of its character
+counts, inside the join, and then by a banded bit-parallel edit distance. Lines of at most
+``EDITS`` characters are all linked with each other, so these links are counted without being
+listed. Classes are what links connect.
 
 Lines are what line feeds separate. A missing text is one empty line. Equal lines are one;
 its place is the first, by document and then by number, missing ids last. Repeated rows are
@@ -18,6 +21,7 @@ matter.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +30,14 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
 from shelfwise.llm.tables import ids_and_texts
-from shelfwise.llm.wordhash import mix, range_hashes
+from shelfwise.llm.wordhash import _BASE, _power, mix, range_hashes
 from shelfwise.session import stage, unstage
 
 EDITS = 2
-LEAST_LENGTH = 20
+LEAST_LENGTH = 0  # of lines that can be linked: all
+LEAST_SEGMENT = 4
 CHUNK = 1 << 20
+SLICE = 1 << 11
 
 
 def segments(length: np.ndarray, edits: int = EDITS) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -54,16 +60,37 @@ def index_keys(points: np.ndarray, first: np.ndarray, length: np.ndarray, edits:
 def probe_keys(points: np.ndarray, first: np.ndarray, length: np.ndarray, edits: int = EDITS) -> Iterator[np.ndarray]:
     """One key per line for each length, segment and shift that may hold the segment of a line not longer."""
     for less in range(edits + 1):
-        for i, (start, size) in enumerate(segments(length - less, edits)):
+        for i, (start, size) in enumerate(segments(np.maximum(length - less, 0), edits)):
             # at most i edits before the segment, and at most edits - i after it
             for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
-                yield _key(points, first + start + shift, size, length - less, i)
+                # only in lines that are not longer than the edits, where segments may be empty, is it ever outside
+                at = np.clip(start + shift, 0, length - size)
+                yield _key(points, first + at, size, length - less, i)
 
 
 def _key(points, start, size, length, number: int) -> np.ndarray:
     return mix(range_hashes(points, start, start + size) ^ mix(length.astype(np.uint64), 70 + number), 80)
 
 
+def rest_keys(points: np.ndarray, first: np.ndarray, length: int, edits: int = EDITS) -> tuple[np.ndarray, np.ndarray]:
+    """Of lines of one length: a key for each different rest after at most ``edits`` deletions, and the place of its line.
+
+    The empty rest has no key: it says nothing, and only lines of at most ``edits`` characters have no other in common.
+    """
+    letters = points[first[:, None] + np.arange(length)]
+    keys = [
+        mix((letters[:, kept] * _power(_BASE, length - n)).sum(axis=2, dtype=np.uint64) ^ mix(np.uint64(length - n), 75), 80)
+        for n in range(min(edits + 1, length))
+        for kept in [np.array(list(combinations(range(length), length - n)))]
+    ]
+    if not keys:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    keys = np.sort(np.concatenate(keys, axis=1), axis=1)
+    new = np.ones(keys.shape, dtype=bool)
+    new[:, 1:] = keys[:, 1:] != keys[:, :-1]
+    return keys[new], np.nonzero(new)[0]
+
+
 def parities(points: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """64 bits per line, the parity of the counts of characters that hash to each: an edit flips two at most."""
     bits = np.uint64(1) << (mix(points, 90) >> np.uint64(58))
@@ -159,7 +186,10 @@ def _banded(patterns: list[str], texts: list[str], edits: int) -> np.ndarray:
 
 
 def _keys(lines: DataFrame, edits: int) -> DataFrame:
-    """(key, line, parity, longest, probe) of the distinct lines (line, content) that can be linked."""
+    """(key, line, parity, probe) of the distinct lines (line, content): who may be linked meets by a key, once
+    as index and once as probe, but for two lines of at most ``edits`` characters.
+    """
+    short = LEAST_SEGMENT * (edits + 1)
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,20 +197,32 @@ def _keys(lines: DataFrame, edits: int) -> DataFrame:
             for some in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(sizes)) + 1):
                 part = batch.slice(some[0], len(some)) if len(some) else batch
                 points, first, length = _points(part.column("content").to_pylist())
-                parity = pa.array(parities(points, first, length).view(np.int64))
-                number = part.column("line")
-                for probe, keys in ((False, index_keys), (True, probe_keys)):
-                    for key in keys(points, first, length, edits):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(key.view(np.int64)), number, parity, pa.array(np.full(len(key), probe))],
-                            names=["key", "line", "parity", "probe"],
-                        )
-
-    return (
-        lines.filter(F.length("content") >= LEAST_LENGTH)
-        .select("line", "content")
-        .mapInArrow(make, "key long, line long, parity long, probe boolean")
-    )
+                parity = parities(points, first, length).view(np.int64)
+                number = part.column("line").to_numpy()
+
+                def rows(key: np.ndarray, of: np.ndarray, probe: bool) -> pa.RecordBatch:
+                    return pa.RecordBatch.from_arrays(
+                        [pa.array(key.view(np.int64)), pa.array(number[of]), pa.array(parity[of]), pa.array(np.full(len(key), probe))],
+                        names=["key", "line", "parity", "probe"],
+                    )
+
+                long = np.flatnonzero(length >= short)
+                if len(long):
+                    for probe, keys in ((False, index_keys), (True, probe_keys)):
+                        for key in keys(points, first[long], length[long], edits):
+                            yield rows(key, long, probe)
+                for n in range(1, short + edits):
+                    same = np.flatnonzero(length == n)
+                    for at in range(0, len(same), SLICE):
+                        of = same[at : at + SLICE]
+                        key, place = rest_keys(points, first[of], n, edits)
+                        # two lines of at most the edits never meet, and two that have segments do not meet here
+                        if n > edits:
+                            yield rows(key, of[place], False)
+                        if n < short:
+                            yield rows(key, of[place], True)
+
+    return lines.select("line", "content").mapInArrow(make, "key long, line long, parity long, probe boolean")
 
 
 def _linked(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
@@ -226,8 +268,13 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     links = stage(_linked(pairs, lines, edits), "line_links")
     unstage(pairs)
     degrees = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count(F.lit(1)).alias("n_links"))
+    # each of them is linked with all others of them: for the classes, links with one are enough
+    tiny = lines.filter(F.length("content") <= edits).select("line")
+    n_tiny, least = tiny.agg(F.count(F.lit(1)), F.min("line")).first()
+    joining = tiny.filter(F.col("line") != F.lit(least)).select(F.lit(least).cast("long").alias("a"), F.col("line").alias("b"))
+    among_tiny = F.when(F.length("content") <= edits, n_tiny - 1).otherwise(0)
     found = stage(
-        components(links).join(degrees.withColumnRenamed("a", "node"), "node", "inner"), "line_classes"
+        components(links.unionByName(joining)).join(degrees.withColumnRenamed("a", "node"), "node", "left"), "line_classes"
     )
     of_line = lines.join(found.withColumnRenamed("node", "line"), "line", "left").withColumn("class", F.coalesce("component", "line"))
     # only lines with links can have another first place than their own
@@ -238,7 +285,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("place.doc_id").alias("doc_id"),
         F.col("place.line_no").alias("line_no"),
         "n_copies",
-        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        (F.coalesce("n_links", F.lit(0)) + among_tiny).cast("long").alias("n_links"),
         F.coalesce("first", "place").getField("doc_id").alias("class_doc_id"),
         F.coalesce("first", "place").getField("line_no").alias("class_line_no"),
         F.coalesce(F.col("first") == F.col("place"), F.lit(True)).alias("kept"),
