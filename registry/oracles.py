@@ -588,6 +588,10 @@ SQL: dict[str, str] = {
         FROM ({group_prices('group_input', pool='top_priority')})""",
     "group_price_provenance": f"SELECT * EXCLUDE (group_store_median) FROM ({group_prices('group_input')})",
     "store_name_reconcile": name_join(),
+    "store_name_reconcile_all_feeds": """SELECT m.store, m.comp_source||'-'||m.comp_store AS comp_name_in_matrix,
+        any_value(p.comp_source||'-'||p.comp_store) AS comp_name_in_feeds
+        FROM (SELECT *, row_number() OVER () AS n FROM matrix) m
+        LEFT JOIN prices p ON m.comp_source=p.comp_source AND m.comp_store=p.comp_store GROUP BY m.n, m.store, m.comp_source, m.comp_store""",
     "inventory_universe": """SELECT store, sku, units, amount FROM (SELECT DISTINCT store, sku FROM inventory)
         LEFT JOIN total_sales USING (store, sku)""",
     "national_price_stats": _cut_columns("all_week_stats", "market_avg market_std"),

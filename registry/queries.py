@@ -375,6 +375,13 @@ def store_name_reconcile(r: Roles) -> DataFrame:
     return matching.reconcile_names(named(r.cats.matrix), feeds, "comp_name")
 
 
+@query
+def store_name_reconcile_all_feeds(r: Roles) -> DataFrame:
+    """Names of ranked competitor stores against the names found in any price feed."""
+    named = lambda df: df.withColumn("comp_name", F.concat("comp_source", F.lit("-"), F.col("comp_store").cast("string")))
+    return matching.reconcile_names(named(r.cats.matrix), [named(r.prices)], "comp_name")
+
+
 @query
 def inventory_universe(r: Roles) -> DataFrame:
     return matching.inventory_universe(r.inventory, r.total_sales.select("sku", "store", "units", "amount"))
