@@ -1,13 +1,11 @@
-"""Removing ``DEPTH``-byte strings that start earlier, by difference-cover names of suffixes.
-
-Only suffixes up to ``DEPTH`` bytes matter, and only whether they are equal. Positions that are
-1 or 2 modulo 3 are the sample. Their triples of bytes are named, and the names recursively in
-triples again, for 9, 27 and 81 bytes; names of 81, 9 and 9 bytes and a last byte name ``DEPTH`` of them.
-The remaining positions are merged in by their first byte and the names of the next sampled
-ones. Names are fingerprints that can be put together from those of parts, so a name hangs on
-the bytes alone and suffixes of all three kinds compare, on every machine, without a shuffle
-for each level. Spark then brings equal names together and compares neighbours: of equal
-suffixes the one in the smallest document stays, in a document the first.
+"""Removing ``DEPTH``-byte strings that start earlier, by fingerprints of suffixes.
+
+Only suffixes up to ``DEPTH`` bytes matter, and only whether they are equal. So no suffix array is
+built: nothing is sorted or ranked. Each is named by a polynomial hash of its ``DEPTH`` bytes,
+put together from the hashes of 3, 9, 27 and 81 bytes at positions of a difference cover; this
+gives the plain hash at every position, so the cover decides nothing. Spark
+groups equal names: of equal suffixes the one in the smallest document stays, in a document the
+first.
 
 Two things keep the rest small. Of documents with equal texts only the first is looked into.
 And from all positions the least of every stretch, by the hash of ``GRAM`` bytes, are anchors:
