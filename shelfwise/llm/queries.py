@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import oracles
+from shelfwise.llm.centroids import cluster_vectors
 from shelfwise.llm.embeddings import near_vectors
 from shelfwise.llm.exact import exact_copies
+from shelfwise.llm.language import languages
 from shelfwise.llm.lines import near_lines
+from shelfwise.llm.merkle import manifest
 from shelfwise.llm.minhash import near_copies
 from shelfwise.llm.mixing import mix
 from shelfwise.llm.packing import pack
@@ -66,12 +69,30 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(_table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    return manifest(_table(spark, sf_dir, "documents"), tampered)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # at the top of the repository; it imports this package in turn
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op6_line_dedup, op7_substring_dedup, op8_quality_classifier, op9_suffix_array_dedup, op10_exact_dedup, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_token_counts, op3_embedding_near_dedup, op4_source_mixing, op5_minhash_near_dedup, op6_line_dedup, op7_substring_dedup, op8_quality_classifier, op9_suffix_array_dedup, op10_exact_dedup, op11_language_id, op12_centroid_clustering, op13_merkle_manifest, pipeline)}
 
-ORACLE_SQL = {"op4_source_mixing": oracles.MIX, "op10_exact_dedup": oracles.EXACT_COPIES}
+ORACLE_SQL = {
+    "op4_source_mixing": oracles.MIX,
+    "op10_exact_dedup": oracles.EXACT_COPIES,
+    "op12_centroid_clustering": oracles.CLUSTERS,
+    "op13_merkle_manifest": oracles.MANIFEST,
+}

@@ -16,6 +16,11 @@ def fresh(name: str, taken: Iterable[str]) -> str:
     return name
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, dots in it or not."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def whole_text(name: str = "text") -> Column:
     """The text of a row; a missing one is empty."""
     return F.coalesce(F.col(name), F.lit(""))
