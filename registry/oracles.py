@@ -63,8 +63,11 @@ def national(prefix: str, prices: str) -> str:
     GROUP BY upc, period"""
 
 
-def fact(sales: str, inventory_pairs: bool = False, fill: bool = True) -> str:
-    """The fact table over the sales view ``sales``."""
+def fact(sales: str, inventory_pairs: bool = False, fill: bool = True, weekly: bool = False) -> str:
+    """The fact table over the sales view ``sales``; ``weekly``: what is known for each line's own week."""
+    w = "_by_week" if weekly else ""
+    same = (lambda a: f" AND {a}.period=l.period") if weekly else (lambda a: "")
+    week = "period, " if weekly else ""
     base = (
         f"(SELECT DISTINCT store, sku FROM inventory) u LEFT JOIN {sales} s USING (store, sku)"
         if inventory_pairs
@@ -76,7 +79,7 @@ def fact(sales: str, inventory_pairs: bool = False, fill: bool = True) -> str:
 
     ref = "hist_median"
     return f"""
-    SELECT x.sku, x.upc, x.store, period, stock_units, stock_value, stock_cost, units, cost, amount, amount_gross,
+    SELECT x.sku, x.upc, x.store, x.period, stock_units, stock_value, stock_cost, units, cost, amount, amount_gross,
         central_sales, central_sales_gross, comp_price*units AS comp_sales, comp_price_now*units AS comp_sales_now,
         amount_gross-cost AS margin_gross, central_sales_gross-cost AS central_margin_gross,
         comp_price*units-cost AS comp_margin, comp_price_now*units-cost AS comp_margin_now,
@@ -120,19 +123,22 @@ def fact(sales: str, inventory_pairs: bool = False, fill: bool = True) -> str:
         FROM (
             SELECT l.*, b.comp_store, b.comp_source AS comp_source_raw, b.comp_chain, b.priority,
                 t.comp_price AS comp_price_raw, n.comp_price AS comp_price_now_raw,
-                rs.comp_price_recent, rs.recent_period, h.* EXCLUDE (upc, comp_store, comp_source),
-                na.* EXCLUDE (upc), rn.* EXCLUDE (upc), c.* EXCLUDE (sku, store), x.iva, x.ieps, pl.promo_percent
+                rs.comp_price_recent, rs.recent_period, h.* EXCLUDE ({week}upc, comp_store, comp_source),
+                na.* EXCLUDE ({week}upc), rn.* EXCLUDE ({week}upc), c.* EXCLUDE ({week}sku, store),
+                x.iva, x.ieps, pl.promo_percent
             FROM {lines_of(base)} l
-            JOIN ({best_of(lines_of(base))}) b USING (store, upc, dept, subdept)
-            LEFT JOIN prices t ON t.upc=l.upc AND t.comp_store=b.comp_store AND t.comp_source=b.comp_source
-                AND t.period={THEN_PERIOD}
-            LEFT JOIN prices n ON n.upc=l.upc AND n.comp_store=b.comp_store AND n.comp_source=b.comp_source
-                AND n.period={RUN_PERIOD}
-            LEFT JOIN recent_store rs ON rs.upc=l.upc AND rs.comp_store=b.comp_store AND rs.comp_source=b.comp_source
-            LEFT JOIN store_history h ON h.upc=l.upc AND h.comp_store=b.comp_store AND h.comp_source=b.comp_source
-            LEFT JOIN national_run na ON na.upc=l.upc
-            LEFT JOIN recent_national rn ON rn.upc=l.upc
-            LEFT JOIN central_asof c ON c.sku=l.sku AND c.store=l.store
+            JOIN ({best_of(lines_of(base), weekly)}) b USING ({week}store, upc, dept, subdept)
+            LEFT JOIN ({_seen(2, weekly)}) t ON t.upc=l.upc AND t.comp_store=b.comp_store
+                AND t.comp_source=b.comp_source{same('t')}
+            LEFT JOIN ({_seen(0, weekly)}) n ON n.upc=l.upc AND n.comp_store=b.comp_store
+                AND n.comp_source=b.comp_source{same('n')}
+            LEFT JOIN recent_store{w} rs ON rs.upc=l.upc AND rs.comp_store=b.comp_store
+                AND rs.comp_source=b.comp_source{same('rs')}
+            LEFT JOIN store_history{w} h ON h.upc=l.upc AND h.comp_store=b.comp_store
+                AND h.comp_source=b.comp_source{same('h')}
+            LEFT JOIN national_run{w} na ON na.upc=l.upc{same('na')}
+            LEFT JOIN recent_national{w} rn ON rn.upc=l.upc{same('rn')}
+            LEFT JOIN central_asof{w} c ON c.sku=l.sku AND c.store=l.store{same('c')}
             JOIN taxes x ON x.sku=l.sku
             LEFT JOIN promo_limits pl ON pl.dept=l.dept AND pl.subdept=l.subdept
         )
@@ -141,8 +147,15 @@ def fact(sales: str, inventory_pairs: bool = False, fill: bool = True) -> str:
     LEFT JOIN skus k ON k.sku=x.sku
     LEFT JOIN store_deciles sd ON sd.sku=x.sku AND sd.store=x.store
     LEFT JOIN national_deciles nd ON nd.sku=x.sku
-    LEFT JOIN ({format_stats(lines_of(base))}) fs
-        ON fs.sku=x.sku AND fs.upc=x.upc AND fs.format=st.format"""
+    LEFT JOIN ({format_stats(lines_of(base), week)}) fs
+        ON fs.sku=x.sku AND fs.upc=x.upc AND fs.format=st.format{' AND fs.period=x.period' if weekly else ''}"""
+
+
+def _seen(back: int, weekly: bool) -> str:
+    """Prices of the week ``back`` weeks before the run, or before each week."""
+    if weekly:
+        return f"SELECT w.period, p.* EXCLUDE (period) FROM prices p JOIN windows w ON w.seen=p.period AND w.back={back}"
+    return f"SELECT * FROM prices WHERE period={THEN_PERIOD if back else RUN_PERIOD}"
 
 
 def lines_of(base: str) -> str:
@@ -151,34 +164,37 @@ def lines_of(base: str) -> str:
         FROM (SELECT * FROM {base}) s_ JOIN skus k USING (sku) WHERE k.upc IS NOT NULL)"""
 
 
-def best_of(lines: str) -> str:
+def best_of(lines: str, weekly: bool = False) -> str:
     """Penalties row by row, then the minimum per store and UPC joined back."""
+    week = "period, " if weekly else ""
+    w = "_by_week" if weekly else ""
+    same = (lambda a: f" AND {a}.period=l.period") if weekly else (lambda a: "")
     return f"""
     WITH penalised AS (
-        SELECT DISTINCT l.store, l.upc, l.dept, l.subdept, m.comp_store, m.comp_source, m.comp_chain,
+        SELECT DISTINCT {'l.period, ' if weekly else ''}l.store, l.upc, l.dept, l.subdept, m.comp_store, m.comp_source, m.comp_chain,
             m.priority + CASE WHEN t.upc IS NULL THEN 10000 ELSE 0 END
                 + CASE WHEN n.upc IS NULL THEN 1000 ELSE 0 END
                 + CASE WHEN r.upc IS NULL THEN 100 ELSE 0 END AS priority
         FROM {lines} l JOIN matrix m USING (store, dept, subdept)
-        LEFT JOIN (SELECT * FROM prices WHERE period={THEN_PERIOD}) t
-            ON t.upc=l.upc AND t.comp_store=m.comp_store AND t.comp_source=m.comp_source
-        LEFT JOIN (SELECT * FROM prices WHERE period={RUN_PERIOD}) n
-            ON n.upc=l.upc AND n.comp_store=m.comp_store AND n.comp_source=m.comp_source
-        LEFT JOIN recent_store r
-            ON r.upc=l.upc AND r.comp_store=m.comp_store AND r.comp_source=m.comp_source)
+        LEFT JOIN ({_seen(2, weekly)}) t
+            ON t.upc=l.upc AND t.comp_store=m.comp_store AND t.comp_source=m.comp_source{same('t')}
+        LEFT JOIN ({_seen(0, weekly)}) n
+            ON n.upc=l.upc AND n.comp_store=m.comp_store AND n.comp_source=m.comp_source{same('n')}
+        LEFT JOIN recent_store{w} r
+            ON r.upc=l.upc AND r.comp_store=m.comp_store AND r.comp_source=m.comp_source{same('r')})
     SELECT p.* FROM penalised p
-    JOIN (SELECT store, upc, min(priority) AS priority FROM penalised GROUP BY store, upc)
-    USING (store, upc, priority)"""
+    JOIN (SELECT {week}store, upc, min(priority) AS priority FROM penalised GROUP BY {week}store, upc)
+    USING ({week}store, upc, priority)"""
 
 
-def format_stats(lines: str) -> str:
+def format_stats(lines: str, week: str = "") -> str:
     a = "avg_price"
     return f"""
-    SELECT sku, upc, format, avg({a}) AS format_price_avg, stddev_samp({a}) AS format_price_std,
+    SELECT {week}sku, upc, format, avg({a}) AS format_price_avg, stddev_samp({a}) AS format_price_std,
         {disc(.5, a)} AS format_price_median, min({a}) AS format_price_min, max({a}) AS format_price_max,
         {disc(.05, a)} AS format_price_p05, {disc(.1, a)} AS format_price_p10,
         {disc(.9, a)} AS format_price_p90, {disc(.95, a)} AS format_price_p95
-    FROM {lines} JOIN stores USING (store) WHERE {a} <> 0 AND {a} IS NOT NULL GROUP BY sku, upc, format"""
+    FROM {lines} JOIN stores USING (store) WHERE {a} <> 0 AND {a} IS NOT NULL GROUP BY {week}sku, upc, format"""
 
 
 def single(fact_view: str, mode: bool = False, endings: bool = False) -> str:
@@ -410,8 +426,35 @@ VIEWS: dict[str, str] = {
         stock_units, stock_value, stock_cost FROM (
         SELECT *, rank() OVER (PARTITION BY sku, store ORDER BY stock_date DESC) AS k FROM inventory
         WHERE stock_date <= DATE '{MIDWEEK}') WHERE k=1""",
+    "windows": f"""SELECT period, back, CAST(yearweek(strptime(period::VARCHAR || '-1', '%G%V-%u') - to_days((7*back)::INT)) AS INT) AS seen
+        FROM (SELECT DISTINCT period FROM sales), (SELECT unnest(range(0, 7))::INT AS back)""",
+    "prices_by_week": "SELECT w.period, p.period AS seen, p.* EXCLUDE (period) FROM prices p JOIN windows w ON w.seen=p.period",
+    "store_history_by_week": f"""SELECT period, upc, comp_store, comp_source, avg(comp_price) AS hist_avg,
+        stddev_samp(comp_price) AS hist_std, min(comp_price) AS hist_min, max(comp_price) AS hist_max,
+        {disc(.5)} AS hist_median, {disc(.1)} AS hist_p10, {disc(.2)} AS hist_p20, {disc(.8)} AS hist_p80,
+        {disc(.9)} AS hist_p90 FROM prices_by_week GROUP BY period, upc, comp_store, comp_source""",
+    "recent_store_by_week": """SELECT period, upc, comp_store, comp_source, seen AS recent_period, comp_price AS comp_price_recent
+        FROM (SELECT *, rank() OVER (PARTITION BY period, upc, comp_store, comp_source ORDER BY seen DESC) AS k
+        FROM prices_by_week) WHERE k=1""",
+    "national_run_by_week": """SELECT w.period, a.upc, a.market_avg, a.market_std, a.market_median, a.market_mode, a.market_mode_freq,
+        b.market_avg AS market_now_avg, b.market_std AS market_now_std, b.market_median AS market_now_median,
+        b.market_mode AS market_now_mode, b.market_mode_freq AS market_now_mode_freq
+        FROM windows w JOIN all_week_stats a ON a.period=w.seen
+        LEFT JOIN all_week_stats b ON a.upc=b.upc AND b.period=w.period WHERE w.back=2""",
+    "recent_national_by_week": """SELECT l.period, l.upc, s.period AS recent_market_period, market_avg AS recent_market_avg,
+        market_median AS recent_market_median, market_mode AS recent_market_mode,
+        market_mode_freq AS recent_market_mode_freq
+        FROM (SELECT period, upc, max(seen) AS seen FROM prices_by_week GROUP BY period, upc) l
+        JOIN all_week_stats s ON s.upc=l.upc AND s.period=l.seen""",
+    "stock_by_week": """SELECT * EXCLUDE (k) FROM (
+        SELECT s.period, i.*, rank() OVER (PARTITION BY s.period, i.sku, i.store ORDER BY stock_date DESC) AS k
+        FROM (SELECT DISTINCT sku, store, period FROM sales) s JOIN inventory i
+        ON i.sku=s.sku AND i.store=s.store AND i.stock_date <= strptime(s.period::VARCHAR || '-5', '%G%V-%u')::DATE) WHERE k=1""",
+    "central_asof_by_week": """SELECT period, sku, store,
+        CASE WHEN stock_units=0 THEN NULL ELSE stock_value/stock_units END AS central_price,
+        stock_units, stock_value, stock_cost FROM stock_by_week""",
     "fact": fact("total_sales"),
-    "weekly_fact": fact("sales"),
+    "weekly_fact": fact("sales", weekly=True),
     "fact_inventory": fact("total_sales", inventory_pairs=True, fill=False),
     "suggested": suggested("fact"),
     "suggested_with_modes": suggested("fact", mode=True),
@@ -693,6 +736,12 @@ SQL: dict[str, str] = {
         FROM store_history LEFT JOIN recent_store USING (upc, comp_store, comp_source)
         LEFT JOIN national_run USING (upc) LEFT JOIN recent_national USING (upc)""",
     "fact_table": _cut_columns("fact", _STATS + " format_price_avg format_price_std"),
+    "weekly_competitor_stats": f"""SELECT * REPLACE ({', '.join(f'{cut(c)} AS {c}' for c in _STATS.split())})
+        FROM store_history_by_week LEFT JOIN recent_store_by_week USING (period, upc, comp_store, comp_source)
+        LEFT JOIN national_run_by_week USING (period, upc) LEFT JOIN recent_national_by_week USING (period, upc)""",
+    "asof_inventory_by_week": "SELECT * REPLACE (CAST(stock_date AS VARCHAR) AS stock_date) FROM stock_by_week",
+    "weekly_runs": _cut_columns("weekly_fact", _STATS + " format_price_avg format_price_std"),
+    "weekly_reruns": "SELECT period, sku, store, comp_store, priority, units, comp_price FROM weekly_fact",
     "fact_table_inventory": """SELECT sku, store, period, units, priority, comp_store, comp_price, cup, promo
         FROM fact_inventory""",
     "suggested_prices": "SELECT * FROM suggested",

@@ -19,6 +19,7 @@ from shelfwise.plans import competitor_stats as comp_plan
 from shelfwise.plans import descriptive as desc_plan
 from shelfwise.plans import fact_table as fact_plan
 from shelfwise.plans import price_impact as impact_plan
+from shelfwise.plans import weekly_runs as weekly_plan
 from shelfwise.plans.suggested_prices import single_prices, suggested_prices
 from shelfwise.session import shared_dir
 from shelfwise.sources import delimited, tables
@@ -683,6 +684,43 @@ def fact_table(r: Roles) -> DataFrame:
     return rounded(r.lazy_fact(), _FACT_NOISE)
 
 
+@query
+def weekly_competitor_stats(r: Roles) -> DataFrame:
+    """The same for every week, each with its own look-back."""
+    s = r.fresh_weekly_stats()
+    out = (
+        s.store_history.join(s.recent_store, ["period", *matching.OBSERVATION], "left")
+        .join(s.national, ["period", "upc"], "left")
+        .join(s.recent_national, ["period", "upc"], "left")
+    )
+    return rounded(
+        out, "hist_avg hist_std market_avg market_std market_now_avg market_now_std recent_market_avg"
+    )
+
+
+@query
+def asof_inventory_by_week(r: Roles) -> DataFrame:
+    """Stock of every article, store and week of sales as of the Friday of the week."""
+    rows = weekly_plan.asof_inventory_by_week(r.inventory, r.sales)
+    return rows.withColumn("stock_date", F.col("stock_date").cast("string"))
+
+
+@query
+def weekly_runs(r: Roles) -> DataFrame:
+    """The fact tables of all weeks, run as one job."""
+    return rounded(r.lazy_weekly_fact(), _FACT_NOISE)
+
+
+@query
+def weekly_reruns(r: Roles) -> DataFrame:
+    """Weekly tables saved by week, two of them run again, and read back as one."""
+    path = _folder(r, "weeks")
+    saved = r.weekly_fact.select("period", "sku", "store", "comp_store", "priority", "units", "comp_price")
+    tables.save_periods(saved.withColumn("units", F.when(F.col("period") % 100 < 27, F.col("units")).otherwise(0.0)), path)
+    tables.save_periods(saved.filter(F.col("period") % 100 >= 27), path)
+    return tables.union_saved(r.spark, [path]).select(*saved.columns)
+
+
 @query
 def fact_table_inventory(r: Roles) -> DataFrame:
     """Lines for every stocked pair, without filling missing prices by modes."""

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.functions.weeks import midweek_date, week_of
 from shelfwise.operators import dims
+from shelfwise.operators.sliding import run_periods
 from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats, look_back_prices
 from shelfwise.plans.fact_table import fact_table
 from shelfwise.plans.price_impact import PriceImpact, price_impact
 from shelfwise.plans.suggested_prices import suggested_prices
+from shelfwise.plans.weekly_runs import competitor_stats_by_week, weekly_runs
 from shelfwise.session import stage, tune
 
 # last week on record; the look-back reaches before the first, so runs use all weeks
@@ -312,10 +314,16 @@ class Roles:
     def fact(self) -> DataFrame:
         return self.staged("fact", self.lazy_fact)
 
+    def fresh_weekly_stats(self) -> CompetitorStats:
+        return competitor_stats_by_week(self.prices, self.cats.matrix, stage(run_periods(self.sales), "runs"))
+
+    def lazy_weekly_fact(self) -> DataFrame:
+        """The fact table of every week on record, each with its own look-back and as-of day."""
+        return weekly_runs(self.sales, self.prices, self.inventory, self.cats)
+
     @cached_property
     def weekly_fact(self) -> DataFrame:
-        """The same for the sales of every single week."""
-        return self.staged("weekly_fact", lambda: self.lazy_fact(self.sales))
+        return self.staged("weekly_fact", self.lazy_weekly_fact)
 
     @cached_property
     def suggested(self) -> DataFrame:

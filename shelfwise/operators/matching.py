@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,7 @@ def priority_pick(
     then: DataFrame,
     now: DataFrame,
     recent: DataFrame,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Best competitor store per (store, upc): least penalised priority, ties kept.
 
@@ -48,20 +50,21 @@ def priority_pick(
     combinations of those. That keeps the ranking window bounded by departments ×
     priorities however many sales rows share a UPC, and leaves one join back to sales.
     ``then``, ``now`` and ``recent`` hold the observations of the earlier week, the
-    current week and the look-back, keyed by upc, comp_store, comp_source.
+    current week and the look-back, keyed by upc, comp_store, comp_source. With ``by`` all
+    tables have these columns as well and the choice is made for each of their values.
     """
 
     def seen(prices: DataFrame, flag: str) -> DataFrame:
-        return prices.select(*OBSERVATION).distinct().withColumn(flag, F.lit(True))
+        return prices.select(*by, *OBSERVATION).distinct().withColumn(flag, F.lit(True))
 
-    options = matrix_expand(demand.select("store", "dept", "subdept", "upc").distinct(), matrix)
+    options = matrix_expand(demand.select(*by, "store", "dept", "subdept", "upc").distinct(), matrix)
     for prices, flag in ((then, "_then"), (now, "_now"), (recent, "_recent")):
-        options = options.join(seen(prices, flag), OBSERVATION, "left")
+        options = options.join(seen(prices, flag), [*by, *OBSERVATION], "left")
     penalty = sum(
         F.when(F.col(flag).isNull(), cost).otherwise(0)
         for flag, cost in (("_then", MISSING_THEN), ("_now", MISSING_NOW), ("_recent", MISSING_RECENT))
     )
-    best = F.rank().over(Window.partitionBy("store", "upc").orderBy("priority"))
+    best = F.rank().over(Window.partitionBy(*by, "store", "upc").orderBy("priority"))
     return (
         options.withColumn("priority", F.col("priority") + penalty)
         .withColumn("_place", best)
@@ -78,8 +81,9 @@ def latest_price_per_store(prices: DataFrame) -> DataFrame:
     )
 
 
-def central_prices(inventory: DataFrame) -> DataFrame:
+def central_prices(inventory: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return inventory.select(
+        *by,
         "sku",
         "store",
         F.try_divide("stock_value", "stock_units").alias("central_price"),

@@ -41,13 +41,24 @@ def price_stats(
     Measures: avg, std, min, max, median, mode, mode_freq, count. The mode is taken over
     prices moved to their allowed ending, the lowest of equally frequent ones winning.
     """
+    return stats_of_counts(price_counts(df, keys, price), keys, prefix, measures, percentiles)
+
+
+def stats_of_counts(
+    counts: DataFrame,
+    keys: Sequence[str],
+    prefix: str,
+    measures: Sequence[str] = ("avg", "std", "median"),
+    percentiles: Mapping[str, float] | None = None,
+) -> DataFrame:
+    """The same from ``price_counts``, or sums of several of them: one row per key and price."""
     wanted = dict(percentiles or {})
     if "median" in measures:
         wanted = {"median": 0.5, **wanted}
 
     per_key = Window.partitionBy(*keys)
     upward = per_key.orderBy("_price").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    counted = price_counts(df, keys, price).withColumns(
+    counted = counts.withColumns(
         {
             "_total": F.sum("_n").over(per_key),
             "_mean": F.sum(F.col("_n") * F.col("_price")).over(per_key) / F.sum("_n").over(per_key),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -77,11 +78,11 @@ def sales_lines(sales: DataFrame, skus: DataFrame, inventory: DataFrame | None =
     )
 
 
-def sales_price_stats_by_format(lines: DataFrame, stores: DataFrame) -> DataFrame:
+def sales_price_stats_by_format(lines: DataFrame, stores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     sold = lines.filter(F.col("avg_price") != 0).join(stores.select("store", "format"), "store", "inner")
     return price_stats(
         sold,
-        ["sku", "upc", "format"],
+        [*by, "sku", "upc", "format"],
         "avg_price",
         "format_price",
         ("avg", "std", "median", "min", "max"),
@@ -177,36 +178,65 @@ def fact_table(
     ``universe``: an inventory snapshot whose (store, sku) pairs are used instead of the
     sales lines. ``rebase`` puts week numbers into the year of ``period``.
     """
-    # written once: the choice of competitor, the rows and the statistics by format start from them.
-    # The choice comes before taxes, which drop articles that have none.
-    lines = stage(sales_lines(sales, cats.skus.select("sku", "upc", *HIERARCHY), universe), "sales_lines")
-    then = week_prices(prices, week_before(period, 2), "comp_price")
-    now = week_prices(prices, period, "comp_price_now")
+    lines = staged_lines(sales, cats, universe)
+    fact = fact_rows(
+        lines,
+        week_prices(prices, week_before(period, 2), "comp_price"),
+        week_prices(prices, period, "comp_price_now"),
+        central_price_asof(inventory, asof or midweek_date(period)),
+        stats,
+        cats,
+        fill_with_mode=fill_with_mode,
+    )
+    if rebase:
+        fact = fact.withColumn("period", rebase_week(F.col("period"), period // 100))
+    return fact
+
+
+def staged_lines(sales: DataFrame, cats: Catalogues, universe: DataFrame | None = None) -> DataFrame:
+    """Sales lines, written once: the choice of competitor, the rows and the statistics by format start from them.
 
+    The choice comes before taxes, which drop articles that have none.
+    """
+    return stage(sales_lines(sales, cats.skus.select("sku", "upc", *HIERARCHY), universe), "sales_lines")
+
+
+def fact_rows(
+    lines: DataFrame,
+    then: DataFrame,
+    now: DataFrame,
+    central: DataFrame,
+    stats: CompetitorStats,
+    cats: Catalogues,
+    by: Sequence[str] = (),
+    fill_with_mode: bool = True,
+) -> DataFrame:
+    """The fact table of staged lines, prices of both weeks, central prices and statistics.
+
+    Without ``by`` all of these are of one run. With it they have these columns too, and each
+    line meets what is known for its own values of them.
+    """
+    observation = [*by, *OBSERVATION]
     # everything known about a competitor store and article is attached to the few
     # picked rows, before these meet the sales lines
     picked = priority_pick(
-        lines, cats.matrix, then, now, stats.recent_store.filter(F.col("comp_price_recent").isNotNull())
+        lines, cats.matrix, then, now, stats.recent_store.filter(F.col("comp_price_recent").isNotNull()), by
     )
     for table in (then, now, stats.recent_store, stats.store_history):
-        picked = picked.join(table, OBSERVATION, "left")
-    picked = picked.join(stats.national, "upc", "left").join(stats.recent_national, "upc", "left")
+        picked = picked.join(table, observation, "left")
+    picked = picked.join(stats.national, [*by, "upc"], "left").join(stats.recent_national, [*by, "upc"], "left")
 
     # joins on (sku, store) come first, while the lines are narrow; descriptions come last
-    central = central_price_asof(inventory, asof or midweek_date(period))
     rows = (
-        lines.join(central, ["sku", "store"], "left")
+        lines.join(central, [*by, "sku", "store"], "left")
         .join(cats.store_deciles, ["sku", "store"], "left")
-        .join(picked, ["store", "upc", "dept", "subdept"], "inner")
+        .join(picked, [*by, "store", "upc", "dept", "subdept"], "inner")
         .join(sku_terms(cats).drop("upc", *HIERARCHY), "sku", "inner")
     )
     fact = fact_metrics(rows, fill_with_mode).select(*FACT_COLUMNS, "store_decile", "national_decile")
-    if rebase:
-        fact = fact.withColumn("period", rebase_week(F.col("period"), period // 100))
-    by_format = sales_price_stats_by_format(lines, cats.stores)
+    by_format = sales_price_stats_by_format(lines, cats.stores, by)
     return (
         fact.join(cats.stores, "store", "inner")
-        .join(by_format, ["sku", "upc", "format"], "left")
+        .join(by_format, [*by, "sku", "upc", "format"], "left")
         .join(cats.skus.drop("upc"), "sku", "left")
     )
-

@@ -14,6 +14,21 @@ def save_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> No
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def save_periods(df: DataFrame, path: str, by: str = "period") -> None:
+    """Write the weeks of ``df``, one folder each, and leave the other weeks at ``path`` untouched.
+
+    Running a week again replaces that week alone. Rows are rebalanced by week, so that a week
+    gets few files and a large one still many tasks.
+    """
+    (
+        df.hint("rebalance", F.col(by))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(by)
+        .parquet(path)
+    )
+
+
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
