@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,59 +57,148 @@ def cumulative_share(
     )
 
 
+# groups up to this many rows are sorted as they are; a task holds one easily
+SORTED_ROWS = 1_000_000
+ACCURACY = 10_000
+ROUNDS = 4
+
+
+def _rank(rows: Column, share: float) -> Column:
+    """Rank of the first of ``rows`` values that at least so much of them reaches."""
+    return F.greatest(F.lit(1), rows - F.floor(rows - rows * float(share)))
+
+
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    """Equal keys; missing ones are equal too."""
+    return reduce(lambda x, y: x & y, (F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns))
+
+
+def large_groups(df: DataFrame, group: Sequence[str], largest: int) -> DataFrame | None:
+    """Keys of the groups with more than ``largest`` rows, at most rows / largest of them, or None."""
+    large = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > largest).drop("_rows")
+    return None if large.isEmpty() else stage(large, "large_groups")
+
+
 def quantile_cuts(
-    df: DataFrame, group: Sequence[str], values: Sequence[str], shares: Sequence[float]
+    df: DataFrame,
+    group: Sequence[str],
+    values: Sequence[str],
+    shares: Sequence[float],
+    extra: Sequence[Column] = (),
+    largest: int = SORTED_ROWS,
 ) -> DataFrame:
     """``{value}_cuts`` array per group: for each share the first value that at least so much of the group reaches.
 
-    Exact for groups of any size. Equal values are counted first; the counts are range
-    partitioned by group and value, summed inside slices and lifted by the slices before, so
-    no window spans a group. Missing values do not count; a group without any has a null array.
+    Exact for groups of any size. Groups up to ``largest`` rows are sorted by one shuffle, the
+    aggregates ``extra`` included. In larger ones a mergeable sketch brackets each cut, and only
+    values inside the brackets are shuffled (``selected_cuts``). Missing values do not count;
+    a group without any has nulls.
     """
-    long = df.select(
+    large = large_groups(df, group, largest)
+    if large is None:
+        return _sorted_cuts(df, group, values, shares, extra)
+    keyed = df.alias("d")
+    small = keyed.join(large.alias("g"), _same("d", "g", group), "left_anti")
+    big = keyed.join(large.alias("g"), _same("d", "g", group), "left_semi")
+    long = big.select(
         F.struct(*group).alias("_group"),
         F.explode(F.array(*(F.struct(F.lit(i).alias("of"), F.col(v).cast("double").alias("value")) for i, v in enumerate(values)))).alias("_v"),
     ).select("_group", F.col("_v.of").alias("_of"), F.col("_v.value").alias("_value"))
-    cuts = _cuts_of_groups(long.filter("_value IS NOT NULL"), shares)
-    by_group = cuts.groupBy("_group").agg(
+    found = selected_cuts(long.filter("_value IS NOT NULL"), shares, largest)
+    wide = found.groupBy("_group").agg(
         *(F.max(F.when(F.col("_of") == i, F.col("_cuts"))).alias(f"{v}_cuts") for i, v in enumerate(values))
     )
-    return by_group.select(*(F.col(f"_group.{g}").alias(g) for g in group), *(f"{v}_cuts" for v in values))
+    rest = big.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *extra).withColumn("_group", F.struct(*group))
+    out = rest.join(wide, "_group", "left").drop("_rows", "_group")
+    return _sorted_cuts(small, group, values, shares, extra).unionByName(out)
 
 
-def _cuts_of_groups(long: DataFrame, shares: Sequence[float]) -> DataFrame:
-    """(_group, _of, _cuts) of the values (_group, _of, _value)."""
-    counted = long.groupBy("_group", "_of", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    sliced = stage(
-        counted.repartitionByRange("_group", "_of", "_value").withColumn("_slice", F.spark_partition_id()), "value_slices"
+def _sorted_cuts(
+    df: DataFrame, group: Sequence[str], values: Sequence[str], shares: Sequence[float], extra: Sequence[Column]
+) -> DataFrame:
+    """The cuts from the ranks inside each group; windows and aggregate share one shuffle."""
+    ranked = df
+    for v in values:
+        so_far = Window.partitionBy(*group).orderBy(v).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = ranked.withColumns(
+            {f"_{v}_so_far": F.count(v).over(so_far), f"_{v}_all": F.count(v).over(Window.partitionBy(*group))}
+        )
+    cut = lambda v, s: F.min(F.when(F.col(f"_{v}_so_far") >= _rank(F.col(f"_{v}_all"), s), F.col(v).cast("double")))
+    return ranked.groupBy(*group).agg(
+        *extra, *(F.when(F.count(v) > 0, F.array(*(cut(v, s) for s in shares))).alias(f"{v}_cuts") for v in values)
     )
-    part = ["_group", "_of"]
-    by_part = Window.partitionBy(*part)
-    before = by_part.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    lifts = (
-        sliced.groupBy(*part, "_slice")
-        .agg(F.sum("_n").alias("_sum"))
-        .select(*part, "_slice", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_lift"), F.sum("_sum").over(by_part).alias("_all"))
+
+
+def selected_cuts(long: DataFrame, shares: Sequence[float], largest: int = SORTED_ROWS) -> DataFrame:
+    """(_group, _of, _cuts) of the values (_group, _of, _value), without sorting them.
+
+    Each round a sketch per cut names a bracket for it, and the values below and inside are
+    counted, map side first. A bracket that misses its rank is opened to that side; one that still
+    holds too many values is bracketed again from those. At last the values inside are counted by
+    value and ranked from the number below: the sketch bounds the work and decides no result.
+    """
+    key = ["_group", "_of"]
+    low, high = float("-inf"), float("inf")
+    around = [min(max(s + side * 2 / ACCURACY, 0.0), 1.0) for s in shares for side in (-1, 1)]
+    sketched = long.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("_rows"), F.percentile_approx("_value", [float(s) for s in around], ACCURACY).alias("_near")
     )
-    within = Window.partitionBy(*part, "_slice").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # share s of n values is reached by the value of rank n - floor(n - s * n), and at least the first
+    # one row per group, value and share: few, as the groups are large
     wanted = F.array(
         *(
-            F.struct(
-                F.lit(i).alias("nth"),
-                F.greatest(F.lit(1), F.col("_all") - F.floor(F.col("_all") - F.col("_all") * float(s))).alias("rank"),
-            )
+            F.struct(F.lit(i).alias("nth"), _rank(F.col("_rows"), s).alias("rank"), F.col("_near")[2 * i].alias("lo"), F.col("_near")[2 * i + 1].alias("hi"))
             for i, s in enumerate(shares)
         )
     )
-    reached = F.filter(wanted, lambda w: (w["rank"] > F.col("_until") - F.col("_n")) & (w["rank"] <= F.col("_until")))
+    brackets = stage(sketched.select(*key, F.explode(wanted).alias("_c")).select(*key, "_c.*"), "brackets")
+    done: list[DataFrame] = []
+    for turn in range(ROUNDS):
+        counted = stage(
+            long.join(brackets, key, "inner")
+            .groupBy(*key, "nth", "rank", "lo", "hi")
+            .agg(F.count_if(F.col("_value") < F.col("lo")).alias("below"), F.count_if(F.col("_value").between(F.col("lo"), F.col("hi"))).alias("inside")),
+            "bracket_counts",
+        )
+        hit = (F.col("below") < F.col("rank")) & (F.col("rank") <= F.col("below") + F.col("inside"))
+        # one value, or few enough to rank; in the last round all that are hit
+        ready = hit & ((F.col("lo") == F.col("hi")) | (F.col("inside") <= largest) | F.lit(turn == ROUNDS - 1))
+        done.append(counted.filter(ready))
+        rest = counted.filter(~ready)
+        if rest.isEmpty():
+            break
+        if turn == ROUNDS - 1:
+            done.append(rest.withColumns({"lo": F.lit(low), "hi": F.lit(high), "below": F.lit(0).cast("long")}))
+            break
+        missed = rest.filter(~hit).withColumns(
+            {
+                "lo": F.when(F.col("rank") <= F.col("below"), F.lit(low)).otherwise(F.col("hi")),
+                "hi": F.when(F.col("rank") <= F.col("below"), F.col("lo")).otherwise(F.lit(high)),
+            }
+        ).select(*brackets.columns)
+        inside = long.join(rest.filter(hit), key, "inner").filter(F.col("_value").between(F.col("lo"), F.col("hi")))
+        steps = 1000
+        share = (F.col("rank") - F.col("below")) / F.col("inside")
+        at = lambda side: F.greatest(F.lit(0), F.least(F.lit(steps), F.floor(share * steps).cast("int") + side))
+        narrower = (
+            inside.groupBy(*key, "nth", "rank", "below", "inside")
+            .agg(F.percentile_approx("_value", [i / steps for i in range(steps + 1)], ACCURACY).alias("_near"))
+            .select(*key, "nth", "rank", F.get("_near", at(-2)).alias("lo"), F.get("_near", at(3)).alias("hi"))
+        )
+        brackets = stage(missed.unionByName(narrower), "brackets")
+    found = reduce(DataFrame.unionByName, done).select(*key, "nth", "rank", "lo", "hi", "below")
+    values = (
+        long.join(found, key, "inner")
+        .filter(F.col("_value").between(F.col("lo"), F.col("hi")))
+        .groupBy(*key, "nth", "rank", "below", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    so_far = Window.partitionBy(*key, "nth").orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        sliced.join(lifts, [*part, "_slice"], "inner")
-        .withColumn("_until", F.col("_lift") + F.sum("_n").over(within))
-        .select(*part, "_value", F.explode(reached).alias("_w"))
-        .groupBy(*part)
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("_w.nth"), "_value"))).alias("_cuts"))
-        .select(*part, F.col("_cuts._value").alias("_cuts"))
+        values.withColumn("_until", F.col("below") + F.sum("_n").over(so_far))
+        .filter((F.col("rank") <= F.col("_until")) & (F.col("rank") > F.col("_until") - F.col("_n")))
+        .groupBy(*key)
+        .agg(F.array_sort(F.collect_list(F.struct("nth", "_value"))).alias("_found"))
+        .select(*key, F.col("_found._value").alias("_cuts"))
     )
 
 
@@ -118,23 +208,47 @@ def decile_of(value: Column, cuts: Column) -> Column:
 
 
 def deciles_by_level(
-    totals: DataFrame, levels: Sequence[str], measures: Sequence[str], store: str = "store"
+    totals: DataFrame, levels: Sequence[str], measures: Sequence[str], store: str = "store", largest: int = SORTED_ROWS
 ) -> DataFrame:
     """Deciles of every measure inside store × each prefix of the hierarchy ``levels``.
 
-    The cuts of all levels are found in one pass, with the levels below as missing.
+    A decile only hangs on how many values of the group are no greater, so rows of groups up to
+    ``largest`` rows are ranked where they are: one shuffle by store and first level serves all
+    levels. Larger groups get their cuts by ``quantile_cuts``, level by level, and only the levels
+    below, whose groups are small again, are ranked.
     """
     shares = [i / 10 for i in range(1, 10)]
     keys = [store, *levels]
-    depths = range(1, len(levels) + 1)
-    at_depth = lambda d: F.struct(F.lit(d).alias("_depth"), *(F.col(k) if i <= d else F.lit(None).cast(totals.schema[k].dataType).alias(k) for i, k in enumerate(keys)))
-    stacked = totals.select(F.explode(F.array(*(at_depth(d) for d in depths))).alias("_key"), *measures).select("_key.*", *measures)
-    cuts = stage(quantile_cuts(stacked, ["_depth", *keys], measures, shares), "level_cuts")
-    out = totals
-    for depth, level in zip(depths, levels):
+    rest, out, known = totals, [], []
+    for depth in range(1, len(levels) + 1):
         own = keys[: depth + 1]
-        renamed = cuts.filter(F.col("_depth") == depth).select(*own, *(F.col(f"{m}_cuts").alias(f"_{m}") for m in measures))
-        out = out.join(renamed, own, "inner").withColumns(
-            {f"{m}_decile_{level}": decile_of(F.col(m), F.col(f"_{m}")) for m in measures}
-        ).drop(*(f"_{m}" for m in measures))
-    return out
+        large = large_groups(rest, own, largest)
+        if large is None:
+            break
+        small = rest.alias("d").join(large.alias("g"), _same("d", "g", own), "left_anti")
+        out.append(_ranked_deciles(small, keys, depth, measures, shares))
+        rest = rest.alias("d").join(large.alias("g"), _same("d", "g", own), "left_semi")
+        cuts = quantile_cuts(rest, own, measures, shares, largest=largest)
+        rest = (
+            rest.alias("d")
+            .join(cuts.alias("c"), _same("d", "c", own), "inner")
+            .select("d.*", *(decile_of(F.col(f"d.{m}"), F.col(f"c.{m}_cuts")).alias(f"{m}_decile_{levels[depth - 1]}") for m in measures))
+        )
+    else:
+        depth = len(levels) + 1
+    out.append(_ranked_deciles(rest, keys, depth, measures, shares))
+    columns = [*totals.columns, *(f"{m}_decile_{level}" for level in levels for m in measures)]
+    return reduce(DataFrame.unionByName, (part.select(*columns) for part in out))
+
+
+def _ranked_deciles(
+    rows: DataFrame, keys: Sequence[str], first: int, measures: Sequence[str], shares: Sequence[float]
+) -> DataFrame:
+    """``rows`` with the deciles of the levels from depth ``first`` down, by ranks."""
+    for depth in range(first, len(keys)):
+        own = Window.partitionBy(*keys[: depth + 1])
+        for m in measures:
+            so_far = own.orderBy(m).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            reached = sum((F.count(m).over(so_far) >= _rank(F.count(m).over(own), s)).cast("int") for s in shares)
+            rows = rows.withColumn(f"{m}_decile_{keys[depth]}", 10 - reached)
+    return rows

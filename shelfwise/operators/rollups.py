@@ -74,20 +74,14 @@ def price_change_distribution(fact: DataFrame, keys: Sequence[str]) -> DataFrame
     now = F.try_divide("comp_sales_now", "units")
     change = F.try_divide(now - F.col("hist_median"), F.col("hist_median"))
     rows = fact.select(*keys, "dept_name", change.alias("change"))
-    plain = rows.groupBy(*keys).agg(
+    plain = [
         F.min("dept_name").alias("dept_name"),
         F.avg("change").alias("change_avg"),
         F.min("change").alias("change_min"),
         F.max("change").alias("change_max"),
-    )
-    # missing keys are a group as well
-    same = lambda side: F.struct(*(F.col(f"{side}.{k}") for k in keys))
-    cuts = quantile_cuts(rows, keys, ["change"], [i / 10 for i in range(11)])
-    return (
-        plain.alias("p")
-        .join(cuts.alias("c"), same("p") == same("c"), "left")
-        .select("p.*", *(F.col("c.change_cuts")[i].alias(f"p{i}0") for i in (0, 1, 2, 8, 9)))
-    )
+    ]
+    cuts = quantile_cuts(rows, keys, ["change"], [i / 10 for i in range(11)], plain)
+    return cuts.select("*", *(F.col("change_cuts")[i].alias(f"p{i}0") for i in (0, 1, 2, 8, 9))).drop("change_cuts")
 
 
 def store_period_coverage(

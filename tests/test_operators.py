@@ -4,6 +4,8 @@ import statistics
 from collections import Counter, defaultdict
 from datetime import date
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +292,42 @@ def test_cuts_are_exact_in_large_groups(spark, rows):
             held = sorted(r[v] for r in values.collect() if r.g == g)
             n = len(held)
             assert out[g][f"{v}_cuts"] == [held[max(1, math.ceil(round(s * n, 6))) - 1] for s in shares]
+
+
+@pytest.mark.parametrize("largest", [1_000, 40])
+def test_selected_cuts_are_exact_without_sorting(spark, largest):
+    """Groups of 100 000 and 9 000 rows, hot values among them, against a sort."""
+    rng = np.random.default_rng(8)
+    held = {
+        1: rng.normal(size=100_000).round(3),
+        2: np.where(rng.random(9_000) < 0.4, 7.0, rng.exponential(size=9_000)),
+        3: np.full(5_000, -2.5),
+        None: rng.integers(0, 3, 3_000).astype(float),
+        4: rng.random(30),
+    }
+    frames = [pd.DataFrame({"g": [g] * len(v), "v": v, "w": -v}) for g, v in held.items()]
+    values = spark.createDataFrame(pd.concat(frames), "g int, v double, w double").repartition(8)
+    values = values.unionByName(spark.createDataFrame([(1, None, None), (9, None, 1.0)], values.schema))
+    shares = [i / 10 for i in range(11)] + [0.001, 0.999]
+    out = {r.g: r for r in ranking.quantile_cuts(values, ["g"], ["v", "w"], shares, [F.count("v").alias("n")], largest).collect()}
+    assert set(out) == {*held, 9} and out[9].v_cuts is None and out[9].w_cuts == [1.0] * len(shares)
+    for g, v in held.items():
+        assert out[g].n == len(v)
+        for name, ordered in (("v", np.sort(v)), ("w", np.sort(-v))):
+            ranks = [max(1, math.ceil(round(s * len(v), 6))) - 1 for s in shares]
+            assert out[g][f"{name}_cuts"] == [ordered[k] for k in ranks]
+
+
+@pytest.mark.parametrize("largest", [30, 300, 10**6])
+def test_deciles_do_not_depend_on_what_counts_as_large(spark, largest):
+    rng = np.random.default_rng(9)
+    n = 3_000
+    rows = pd.DataFrame({"store": rng.choice([1, 1, 1, 2], n), "dept": rng.choice(["a", "a", "b", None], n), "sub": rng.integers(0, 40, n) // 13, "v": rng.integers(0, 400, n) * 1.0, "id": range(n)})
+    totals = spark.createDataFrame(rows, "store int, dept string, sub int, v double, id int")
+    out = ranking.deciles_by_level(totals, ["dept", "sub"], ["v"], largest=largest).toPandas().set_index("id").sort_index()
+    for keys, level in ((["store", "dept"], "dept"), (["store", "dept", "sub"], "sub")):
+        for _, part in rows.groupby(keys, dropna=False):
+            ordered, m = np.sort(part.v), len(part)
+            cuts = [ordered[math.ceil(round(i * m / 10, 6)) - 1] for i in range(1, 10)]
+            expected = [10 - sum(c <= v for c in cuts) for v in part.v]
+            assert out.loc[part.id, f"v_decile_{level}"].tolist() == expected

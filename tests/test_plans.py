@@ -95,10 +95,23 @@ def test_hot_group_is_sliced(spark, table):
         spark.conf.set(setting, "true")
 
 
-def test_deciles_find_all_cuts_in_one_written_pass(roles):
+def test_deciles_of_all_levels_share_one_shuffle(roles):
     totals = rollups.sales_sum_weeks(roles.sales, roles.cats.skus, 200144, 400)
-    plan = plan_of(ranking.deciles_by_level(totals, ["dept", "subdept"], ["total_amount"]))
-    assert "level_cuts" in plan and "Window" not in plan and "percentile" not in plan
+    levels = ["dept", "subdept", "class_id", "subclass_id"]
+    one, all_levels = (ranking.deciles_by_level(totals, levels[:n], ["total_amount", "total_units"]) for n in (1, 4))
+    assert shuffles(all_levels) == shuffles(one) == shuffles(totals) + 1
+    assert "rangepartitioning" not in plan_of(all_levels) and plan_of(all_levels).count("Scan parquet") == plan_of(totals).count("Scan parquet")
+
+
+def test_change_distribution_reads_its_table_once(roles):
+    df = rollups.price_change_distribution(roles.weekly_fact, ["period", "dept"])
+    assert plan_of(df).count("Scan parquet") == 1 and shuffles(df) == 1
+
+
+def test_cuts_of_large_groups_shuffle_only_what_is_inside_the_brackets(spark):
+    rows = spark.range(0, 50_000, 1, 8).select(F.lit(1).alias("g"), (F.xxhash64("id") / 1e9).alias("v"))
+    plan = plan_of(ranking.quantile_cuts(rows, ["g"], ["v"], [0.5], largest=1000))
+    assert "rangepartitioning" not in plan and "_value" in plan[plan.index("Window") :]
 
 
 def test_nine_keys_count_distinct_on_reduced_rows(roles):
