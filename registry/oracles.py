@@ -315,11 +315,9 @@ def impact(prices: str, how: str, mode: bool) -> str:
     return f"""
     WITH p_in AS MATERIALIZED (SELECT * FROM {prices}), {filled('p_in')},
     stock AS (
-        SELECT sku, store, stock_units, stock_value, {c_gross} AS central_price_gross FROM (
-            SELECT *, row_number() OVER (PARTITION BY sku, store
-                ORDER BY stock_units, stock_value, stock_cost) AS k FROM inventory)
-        LEFT JOIN taxes USING (sku)
-        WHERE k=1 AND (store < 300 OR store > 499) AND store <> 686 AND store <> 687),
+        SELECT sku, store, stock_units, stock_value, {c_gross} AS central_price_gross
+        FROM snapshot LEFT JOIN taxes USING (sku)
+        WHERE (store < 300 OR store > 499) AND store <> 686 AND store <> 687),
     sold AS (
         SELECT sku, store, {ending(gross(a))} AS avg_price_gross
         FROM total_sales LEFT JOIN taxes USING (sku)),
@@ -360,7 +358,7 @@ def impact(prices: str, how: str, mode: bool) -> str:
 def stock_exceptions() -> str:
     return """SELECT price_group, min(sku) AS group_exception_sku, arg_min(exception, sku) AS group_exception
         FROM exceptions JOIN price_groups USING (sku)
-        WHERE exception IS NOT NULL AND sku IN (SELECT sku FROM inventory) GROUP BY price_group"""
+        WHERE exception IS NOT NULL AND sku IN (SELECT sku FROM snapshot) GROUP BY price_group"""
 
 
 # Named views, put in front of a query when it uses them.
@@ -377,6 +375,9 @@ VIEWS: dict[str, str] = {
         CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS stock_units,
         CAST(sum({_CENTS}) AS BIGINT)/100 AS stock_value, CAST(sum({_CENTS}) AS BIGINT)*7/1000 AS stock_cost
         FROM lineitem GROUP BY ALL""",
+    "snapshot": f"""SELECT sku, store, DATE '{MIDWEEK}' AS stock_date, stock_units, stock_value, stock_cost FROM inventory
+        WHERE (sku, store, stock_date) IN (SELECT (sku, store, max(stock_date)) FROM inventory
+        WHERE stock_date <= DATE '{MIDWEEK}' GROUP BY sku, store)""",
     "stores": """SELECT store, store_name, format, region, zone, store_type FROM (
         SELECT (s_suppkey%20)::INT AS store, s_name AS store_name, r_name AS format, n_name AS region,
             'Z'||CAST(s_nationkey%4 AS VARCHAR) AS zone,
@@ -553,8 +554,9 @@ SQL: dict[str, str] = {
     "competitor_prices": "SELECT * FROM prices",
     "competitor_prices_multiweek": f"SELECT * FROM prices WHERE period BETWEEN 200044 AND {RUN_PERIOD}",
     "union_periods": "SELECT * FROM sales",
-    "feed_inventory": """SELECT DISTINCT comp_source||'_'||period||'.csv' AS file, comp_source||'_' AS source, period
-        FROM prices""",
+    "feed_inventory": "SELECT DISTINCT comp_source||period||'.csv' AS file, comp_source AS source, period FROM prices",
+    "inventory_read": """SELECT * REPLACE (CASE WHEN sku%3=0 THEN '2001-11-02' ELSE CAST(stock_date AS VARCHAR) END AS stock_date)
+        FROM inventory""",
     "latest_snapshot": f"""SELECT 'Inven_'||{_EN_ES}||'.csv' AS file, CAST(stock_date AS VARCHAR) AS snapshot_date,
         sku, store, stock_units FROM inventory
         WHERE stock_date = (SELECT max(stock_date) FROM inventory WHERE stock_date <= DATE '2000-06-15')""",
@@ -711,6 +713,13 @@ SQL: dict[str, str] = {
     "cumulative_share_units": shares(
         "store, dept, subdept, class_id", "total_units", "units", "sku, store, dept, subdept, class_id"
     ),
+    "cumulative_share_class": shares(
+        "store, dept, subdept, class_id", "total_amount", "amount", "sku, store, dept, subdept, class_id"
+    ),
+    "cumulative_share_units_store": shares("store", "total_units", "units", "sku, store"),
+    "cumulative_share_units_subdept": shares(
+        "store, dept, subdept", "total_units", "units", "sku, store, dept, subdept"
+    ),
     "deciles_by_level": deciles(),
     "top_skus_per_decile": f"""SELECT decile, place, sku, {cut('sales', 2)} AS sales FROM (
         SELECT *, row_number() OVER (PARTITION BY decile ORDER BY sales DESC, sku) AS place FROM (
@@ -742,8 +751,7 @@ SQL: dict[str, str] = {
     "asof_inventory_by_week": "SELECT * REPLACE (CAST(stock_date AS VARCHAR) AS stock_date) FROM stock_by_week",
     "weekly_runs": _cut_columns("weekly_fact", _STATS + " format_price_avg format_price_std"),
     "weekly_reruns": "SELECT period, sku, store, comp_store, priority, units, comp_price FROM weekly_fact",
-    "fact_table_inventory": """SELECT sku, store, period, units, priority, comp_store, comp_price, cup, promo
-        FROM fact_inventory""",
+    "fact_table_inventory": _cut_columns("fact_inventory", _STATS + " format_price_avg format_price_std"),
     "suggested_prices": "SELECT * FROM suggested",
     "suggested_prices_national_mode": "SELECT * FROM suggested_with_modes",
     "suggested_prices_clearance_endings": suggested("fact", endings=True),
@@ -754,8 +762,7 @@ SQL: dict[str, str] = {
     "central_price_asof": "SELECT * FROM central_asof",
     "central_price_snapshot": """SELECT sku, store,
         CASE WHEN stock_units=0 THEN NULL ELSE stock_value/stock_units END AS central_price,
-        stock_units, stock_value, stock_cost FROM (SELECT *, row_number() OVER (PARTITION BY sku, store
-        ORDER BY stock_units, stock_value, stock_cost) AS k FROM inventory) WHERE k=1""",
+        stock_units, stock_value, stock_cost FROM snapshot""",
     "group_min_price": f"""WITH p AS MATERIALIZED (
         SELECT f.sku, f.store, g.price_group, coalesce(comp_price_recent, market_median) AS own
         FROM fact f LEFT JOIN price_groups g ON g.sku=f.sku)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from registry import feeds
 from registry.roles import LOOK_BACK, RUN_PERIOD, Roles
 from shelfwise import schemas
 from shelfwise.functions import prices as px
@@ -46,6 +47,10 @@ def _folder(r: Roles, name: str) -> str:
     return f"{shared_dir(r.spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _weeks(df: DataFrame) -> list[int]:
+    return [row.period for row in df.select("period").distinct().orderBy("period").collect()]
+
+
 # Sources and sinks
 
 
@@ -60,12 +65,27 @@ def scan_delimited(r: Roles) -> DataFrame:
 
 @query
 def weekly_sales(r: Roles) -> DataFrame:
-    return r.lazy_sales
+    """Sales of all weeks, from a file per week."""
+    root = _folder(r, "sales_files")
+    feeds.write_sales(r.sales, root)
+    return delimited.read_sales(r.spark, root, _weeks(r.sales)).select(*r.sales.columns)
 
 
 @query
 def competitor_prices(r: Roles) -> DataFrame:
-    return r.lazy_prices
+    """Prices of all weeks, from a file per feed and week; each feed heads its columns differently."""
+    root = _folder(r, "price_files")
+    feeds.write_prices(r.prices, root)
+    return delimited.read_competitor_prices(r.spark, root, _weeks(r.prices)).select(*r.prices.columns)
+
+
+@query
+def inventory_read(r: Roles) -> DataFrame:
+    """One inventory snapshot whose dates are missing, plain, or written out."""
+    root = _folder(r, "stock_files")
+    feeds.write_stock(r.inventory, root, "Inven_02Nov01.csv")
+    rows = delimited.read_inventory(r.spark, root, "Inven_02Nov01.csv", date(2001, 11, 2))
+    return rows.withColumn("stock_date", F.col("stock_date").cast("string"))
 
 
 @query
@@ -75,21 +95,20 @@ def competitor_prices_multiweek(r: Roles) -> DataFrame:
 
 @query
 def union_periods(r: Roles) -> DataFrame:
-    """Weekly tables of the two halves of the record, put together again."""
-    early, late = (r.sales.filter(c) for c in (F.col("period") < 199801, F.col("period") >= 199801))
-    return early.unionByName(late)
+    """Weekly tables saved year by year, put together again."""
+    path = _folder(r, "years")
+    years = sorted({week // 100 for week in _weeks(r.sales)})
+    for year in years:
+        tables.save_table(r.sales.filter(F.floor(F.col("period") / 100) == year), f"{path}/{year}")
+    return tables.union_saved(r.spark, [f"{path}/{year}" for year in years])
 
 
 @query
 def feed_inventory(r: Roles) -> DataFrame:
-    """Source and week of every weekly feed file, from names like <source><week>.csv."""
-    file = F.concat("comp_source", F.lit("_"), F.col("period").cast("string"), F.lit(".csv"))
-    names = r.prices.select(file.alias("file")).distinct()
-    return names.select(
-        "file",
-        F.regexp_extract("file", delimited.FEED_FILE, 1).alias("source"),
-        F.regexp_extract("file", delimited.FEED_FILE, 2).cast("int").alias("period"),
-    )
+    """Source and week of every weekly feed file, from their names."""
+    root = _folder(r, "price_files")
+    feeds.write_prices(r.prices, root)
+    return delimited.feed_inventory(r.spark, f"{root}/preciosCompetencia")
 
 
 @query
@@ -573,11 +592,29 @@ def cumulative_share_subdept(r: Roles) -> DataFrame:
 
 @query
 def cumulative_share_units(r: Roles) -> DataFrame:
-    group = ["store", "dept", "subdept", "class_id"]
+    return _unit_shares(r, ["store", "dept", "subdept", "class_id"])
+
+
+@query
+def cumulative_share_class(r: Roles) -> DataFrame:
+    return _shares(r, ["store", "dept", "subdept", "class_id"])
+
+
+def _unit_shares(r: Roles, group: list[str]) -> DataFrame:
     out = ranking.cumulative_share(_totals(r), group, "total_units", ["sku", "store"], "units_")
     return rounded(out.select("sku", *group, "units_total", "units_running", "units_share"), "units_share")
 
 
+@query
+def cumulative_share_units_store(r: Roles) -> DataFrame:
+    return _unit_shares(r, ["store"])
+
+
+@query
+def cumulative_share_units_subdept(r: Roles) -> DataFrame:
+    return _unit_shares(r, ["store", "dept", "subdept"])
+
+
 @query
 def deciles_by_level(r: Roles) -> DataFrame:
     levels = ["dept", "subdept", "class_id", "subclass_id"]
@@ -724,9 +761,7 @@ def weekly_reruns(r: Roles) -> DataFrame:
 @query
 def fact_table_inventory(r: Roles) -> DataFrame:
     """Lines for every stocked pair, without filling missing prices by modes."""
-    out = r.lazy_fact(universe=r.inventory, fill_with_mode=False)
-    return out.select("sku", "store", "period", "units", "priority", "comp_store", "comp_price", "cup", "promo")
-
+    return rounded(r.lazy_fact(universe=r.inventory, fill_with_mode=False), _FACT_NOISE)
 
 
 @query
@@ -771,7 +806,7 @@ def central_price_asof(r: Roles) -> DataFrame:
 
 @query
 def central_price_snapshot(r: Roles) -> DataFrame:
-    return matching.central_price_snapshot(r.inventory)
+    return matching.central_price_snapshot(r.snapshot)
 
 
 @query

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfwise import schemas
 from shelfwise.functions.weeks import midweek_date, week_of
 from shelfwise.operators import dims
+from shelfwise.operators.matching import asof_inventory
 from shelfwise.operators.sliding import run_periods
 from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats, look_back_prices
 from shelfwise.plans.fact_table import fact_table
@@ -283,6 +284,12 @@ class Roles:
     def inventory(self) -> DataFrame:
         return self.staged("inventory", lambda: self.lazy_inventory)
 
+    @cached_property
+    def snapshot(self) -> DataFrame:
+        """The stock on the Friday of the run: one row per article and store, all dated that day."""
+        day = midweek_date(RUN_PERIOD)
+        return self.staged("snapshot", lambda: asof_inventory(self.inventory, day).withColumn("stock_date", F.lit(day)))
+
     @cached_property
     def cats(self) -> _StagedCatalogues:
         return _StagedCatalogues(self)
@@ -338,7 +345,7 @@ class Roles:
 
     def lazy_impact(self, **options) -> PriceImpact:
         prices = self.suggested if options.get("ignore_national_mode", True) else self.suggested_with_modes
-        return price_impact(prices, self.inventory, self.total_sales, self.cats, **options)
+        return price_impact(prices, self.snapshot, self.total_sales, self.cats, **options)
 
     @cached_property
     def impact(self) -> PriceImpact:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
@@ -14,6 +15,8 @@ from shelfwise import schemas
 
 FEED_FILE = r"^(.+?)(\d{6})\.csv$"
 SNAPSHOT_FILE = r"^.+?_(\d\d...\d\d)\.csv$"
+# heads of files read at a time
+HEAD_READERS = 16
 
 # Spanish month names that differ from the English ones.
 MONTHS = {"Ene": "Jan", "Abr": "Apr", "Ago": "Aug", "Dic": "Dec"}
@@ -82,17 +85,47 @@ def read_delimited(
 def _by_heading(
     spark: SparkSession, path: str | Sequence[str], file_glob: str | None, comment: str | None
 ) -> list[list[str]]:
-    """The files of a folder, those with the same heading together; only names reach the driver."""
-    reader = spark.read.option("pathGlobFilter", file_glob) if file_glob else spark.read
-    # the heading is the first line of a file's first block
-    lines = reader.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("at")
-    ).filter((F.col("_metadata.file_block_start") == 0) & (F.length("value") > 0))
-    if comment is not None:
-        lines = lines.filter(~F.col("value").startswith(comment))
-    headings = lines.groupBy("file").agg(F.min_by("value", "at").alias("heading"))
-    grouped = headings.groupBy("heading").agg(F.sort_array(F.collect_list("file")).alias("files"))
-    return [row.files for row in grouped.orderBy("heading").collect()]
+    """The files of a folder, those with the same heading together.
+
+    Files are listed without being opened, and of each only the head is read, through the
+    file system that holds it: one line per file, however long the files are.
+    """
+    reader = spark.read.format("binaryFile")
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    files = sorted(row.path for row in reader.load(path).select("path").collect())
+    if not files:
+        return []
+    with ThreadPoolExecutor(min(len(files), HEAD_READERS)) as pool:
+        headings = list(pool.map(lambda file: first_line(spark, file, comment), files))
+    grouped: dict[str, list[str]] = {}
+    for file, heading in zip(files, headings):
+        if heading is not None:
+            grouped.setdefault(heading, []).append(file)
+    return [grouped[heading] for heading in sorted(grouped)]
+
+
+def first_line(spark: SparkSession, file: str, comment: str | None = None) -> str | None:
+    """First line of a file that is neither empty nor a comment; None if there is none.
+
+    A buffered stream is read up to that line and closed, so a few kilobytes of any file; packed
+    files are unpacked as Spark does, by their ending.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(conf).open(path)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        while (line := lines.readLine()) is not None:
+            line = line.removeprefix("\ufeff")
+            if line and not (comment is not None and line.startswith(comment)):
+                return line
+        return None
+    finally:
+        lines.close()
 
 
 def _weeks_glob(prefix: str, periods: Sequence[int]) -> str:

@@ -149,3 +149,34 @@ def test_no_files_give_an_empty_table(spark, tmp_path):
     (tmp_path / "ventas").mkdir()
     sales = delimited.read_sales(spark, str(tmp_path), [201801])
     assert sales.count() == 0 and {"period", "sku", "store", "units"} <= set(sales.columns)
+
+
+def test_only_heads_are_read_for_headings(spark, tmp_path, monkeypatch):
+    """Bytes read to learn the headings do not grow with the files."""
+    line = "7|750123456789.0|1.5\n"
+    for n, name in ((10, "a_201801"), (400_000, "b_201801")):
+        write(tmp_path / f"preciosCompetencia/{name}.csv", "# note\n\nshop|barcode|pr\n" + line * n)
+    stats = spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem
+
+    def read_bytes(action):
+        before = sum(s.getBytesRead() for s in stats.getAllStatistics())
+        result = action()
+        return sum(s.getBytesRead() for s in stats.getAllStatistics()) - before, result
+
+    folder = str(tmp_path / "preciosCompetencia")
+    read, grouped = read_bytes(lambda: delimited._by_heading(spark, folder, "*.csv", "#"))
+    assert [len(g) for g in grouped] == [2] and read < 100_000
+    assert sum(f.stat().st_size for f in (tmp_path / "preciosCompetencia").iterdir()) > 8_000_000
+    assert delimited.read_competitor_prices(spark, str(tmp_path), [201801]).count() == 400_010
+
+
+def test_heads_of_packed_and_empty_files(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "x").mkdir()
+    (tmp_path / "x/a.csv.gz").write_bytes(gzip.compress(b"SKU|IVA|IEPS\n1|160|0\n"))
+    (tmp_path / "x/b.csv").write_bytes("\ufeffSKU|IVA|IEPS\n2|0|80\n".encode())
+    (tmp_path / "x/c.csv").write_bytes(b"")
+    (tmp_path / "x/d e.csv").write_bytes(b"IEPS|SKU\n80|3\n")
+    got = delimited.read_delimited(spark, str(tmp_path / "x"), schemas.TAXES)
+    assert as_set(got, "sku", "iva", "ieps") == {(1, 160.0, 0.0), (2, 0.0, 80.0), (3, None, 80.0)}
