@@ -241,16 +241,19 @@ def train(
         F.col("lang").isNotNull() & has_letter(F.col("text"))
     )
     ticket = F.xxhash64("text")
+    tickets = stage(rows.select("lang", ticket.alias("ticket")).distinct(), "tickets")
+    # tickets are spread evenly, so a bound on them leaves about twice the wanted texts of a
+    # language to be ranked, however many it has
+    count = stage(tickets.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")), "texts_by_language")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("ticket"))
-    # of each language only the least tickets of a partition leave it; at most `sample` rows in all
     chosen = (
-        rows.select("lang", ticket.alias("ticket"))
+        tickets.join(count, "lang", "inner")
+        .filter((F.col("ticket") / 2.0**64 + 0.5) * F.col("texts") <= 2 * per_language + 50)
         .withColumn("place", place)
-        .filter(F.col("place") <= 2 * per_language)
-        .groupBy("lang", "ticket")
-        .agg(F.min("place").alias("place"))
+        .filter(F.col("place") <= per_language)
+        .orderBy("place", "ticket", "lang")
+        .limit(sample)
     )
-    chosen = chosen.withColumn("place", place).filter(F.col("place") <= per_language).orderBy("place", "ticket", "lang").limit(sample)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
