@@ -758,6 +758,7 @@ SQL: dict[str, str] = {
     "suggested_prices_all_priorities": suggested("fact", top=False),
     "suggested_prices_keep_low": suggested("fact", drop_low=False),
     "price_impact": "SELECT * FROM impact",
+    "weekly_chain": "SELECT * FROM impact",
     "price_impact_full": "SELECT * FROM impact_full",
     "central_price_asof": "SELECT * FROM central_asof",
     "central_price_snapshot": """SELECT sku, store,

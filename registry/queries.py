@@ -22,6 +22,7 @@ from shelfwise.plans import fact_table as fact_plan
 from shelfwise.plans import price_impact as impact_plan
 from shelfwise.plans import weekly_runs as weekly_plan
 from shelfwise.plans.suggested_prices import single_prices, suggested_prices
+from shelfwise.plans.weekly import run_week
 from shelfwise.session import shared_dir
 from shelfwise.sources import delimited, tables
 
@@ -799,6 +800,26 @@ def price_impact_full(r: Roles) -> DataFrame:
     return r.lazy_impact(how="full", ignore_national_mode=False).rows
 
 
+@query
+def weekly_chain(r: Roles) -> DataFrame:
+    """The whole run of a week, every stage written and read back: its impact."""
+    out = _folder(r, "run")
+    run_week(
+        r.spark,
+        period=RUN_PERIOD,
+        sales=r.total_sales,
+        impact_sales=r.total_sales,
+        prices=r.prices,
+        inventory=r.inventory,
+        snapshot=r.snapshot,
+        cats=r.lazy_cats,
+        out=out,
+        look_back=(0, LOOK_BACK),
+        fact_options={"rebase": False},
+    )
+    return tables.load_table(r.spark, f"{out}/impact_{RUN_PERIOD}")
+
+
 @query
 def central_price_asof(r: Roles) -> DataFrame:
     return matching.central_price_asof(r.inventory, wk.midweek_date(RUN_PERIOD))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.prices import drop_flag
+from shelfwise.operators.joins import left_join_spread
 
 GROUP_KEY = ["store", "price_group"]
 
@@ -115,7 +116,7 @@ def group_min_prices(fact: DataFrame, price_groups: DataFrame) -> DataFrame:
         (F.col("suggested_price") > F.col("group_price")) | F.col("suggested_price").isNull(),
         F.col("group_price"),
     ).otherwise(F.col("suggested_price"))
-    return priced.join(least, GROUP_KEY, "left").select(
+    return left_join_spread(priced, least, GROUP_KEY, ["sku", "store"]).select(
         "sku", "price_group", "store", ending_price(price).alias("suggested_price")
     )
 

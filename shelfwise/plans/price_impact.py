@@ -12,6 +12,7 @@ from shelfwise import schemas
 from shelfwise.functions.prices import ending_price, gross, percent_of, unit_price
 from shelfwise.operators.dims import Catalogues
 from shelfwise.operators.groups import group_exceptions
+from shelfwise.operators.joins import left_join_spread
 from shelfwise.operators.matching import central_price_snapshot
 from shelfwise.plans.suggested_prices import PRICE_COLUMNS
 
@@ -98,11 +99,10 @@ def contingency(prices: DataFrame) -> Contingency:
 
 
 def fill_contingency(rows: DataFrame, other: Contingency) -> DataFrame:
-    joined = (
-        rows.join(other.by_sku, "sku", "left")
-        .join(other.by_group_store, ["price_group", "store"], "left")
-        .join(other.by_group, "price_group", "left")
-    )
+    joined = rows.join(other.by_sku, "sku", "left")
+    # most articles have no price group
+    joined = left_join_spread(joined, other.by_group_store, ["price_group", "store"], ["sku", "store"])
+    joined = left_join_spread(joined, other.by_group, ["price_group"], ["sku", "store"])
     spare = [c for c in joined.columns if c.startswith("other_")]
     return joined.withColumns(
         {c[6:]: F.coalesce(F.col(c[6:]), F.col(c)) for c in spare}

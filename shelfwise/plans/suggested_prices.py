@@ -18,6 +18,7 @@ from shelfwise.operators.groups import (
     national_group_prices,
     split_exceptions,
 )
+from shelfwise.operators.joins import left_join_spread
 from shelfwise.operators.matching import base_priority
 
 NO_SPOT_PRIORITY = 10
@@ -103,15 +104,14 @@ def suggested_prices(
 
     own, group = c("suggested_price"), c("group_price")
     takes_group = c("price_group").isNotNull() & F.coalesce((own != group) | own.isNull(), F.lit(False))
-    priced = (
-        rows.join(shared, GROUP_KEY, "left")
-        .join(national_group_prices(rows), "price_group", "left")
-        .withColumns(
-            {
-                "suggested_source": F.when(takes_group, schemas.GROUP).otherwise(c("suggested_source")),
-                "suggested_price": F.when(takes_group, group).otherwise(own),
-            }
-        )
+    # rows without a group match nothing and must not meet in one task
+    grouped = left_join_spread(rows, shared, GROUP_KEY, ["sku", "store"])
+    grouped = left_join_spread(grouped, national_group_prices(rows), ["price_group"], ["sku", "store"])
+    priced = grouped.withColumns(
+        {
+            "suggested_source": F.when(takes_group, schemas.GROUP).otherwise(c("suggested_source")),
+            "suggested_price": F.when(takes_group, group).otherwise(own),
+        }
     )
     if not ignore_national_mode:
         still_open = c("price_group").isNotNull() & c("suggested_price").isNull()
@@ -128,6 +128,7 @@ def suggested_prices(
         )
         .select(*PRICE_COLUMNS)
         .join(cats.exceptions, "sku", "left")
-        .join(group_exceptions(cats.exceptions, cats.price_groups), "price_group", "left")
     )
+    of_groups = group_exceptions(cats.exceptions, cats.price_groups)
+    final = left_join_spread(final, of_groups, ["price_group"], ["sku", "store"])
     return SuggestedPrices(auxiliary=single, rows=final)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.operators.dims import Catalogues
 from shelfwise.plans import price_impact as impact_plan
 from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats, look_back_prices
 from shelfwise.plans.fact_table import fact_table
-from shelfwise.plans.suggested_prices import SuggestedPrices, split_exceptions, suggested_prices
+from shelfwise.plans.suggested_prices import SuggestedPrices, suggested_prices
 from shelfwise.sources.tables import load_table, save_table
 
 
@@ -32,14 +33,20 @@ def run_fact_table(spark, sales, prices, inventory, stats, cats, period, out, **
     return _kept(spark, fact, f"{out}/fact_{period}")
 
 
+def kept_catalogues(spark, cats: Catalogues, out) -> Catalogues:
+    """The catalogues, each read and reduced once and written next to the results."""
+    return Catalogues(**{f.name: _kept(spark, getattr(cats, f.name), f"{out}/catalogue_{f.name}") for f in fields(Catalogues)})
+
+
 def run_suggested_prices(spark, fact, cats, period, out, **options) -> SuggestedPrices:
+    """Regular and exceptional rows are two folders of one table, written in one job."""
     prices = suggested_prices(fact, cats, **options)
-    rows = _kept(spark, prices.rows, f"{out}/prices_all_{period}")
-    save_table(prices.auxiliary, f"{out}/prices_auxiliary_{period}")
-    regular, exceptional = split_exceptions(rows)
-    save_table(regular, f"{out}/prices_{period}")
-    save_table(exceptional, f"{out}/prices_exceptions_{period}")
-    return SuggestedPrices(auxiliary=prices.auxiliary, rows=rows)
+    auxiliary = _kept(spark, prices.auxiliary, f"{out}/prices_auxiliary_{period}")
+    regular = F.col("exception").isNull() & F.col("group_exception").isNull()
+    part = F.when(regular, "regular").otherwise("exceptional")
+    save_table(prices.rows.withColumn("part", part), f"{out}/prices_{period}", ["part"])
+    rows = load_table(spark, f"{out}/prices_{period}").drop("part")
+    return SuggestedPrices(auxiliary=auxiliary, rows=rows)
 
 
 def run_price_impact(spark, prices, snapshot, sales, cats, period, out, **options) -> impact_plan.PriceImpact:
@@ -75,6 +82,7 @@ def run_week(
     price_options: dict | None = None,
     impact_options: dict | None = None,
 ) -> impact_plan.PriceImpact:
+    cats = kept_catalogues(spark, cats, out)
     stats = run_competitor_stats(spark, prices, cats.matrix, period, out, *look_back)
     fact = run_fact_table(spark, sales, prices, inventory, stats, cats, period, out, **(fact_options or {}))
     suggested = run_suggested_prices(spark, fact, cats, period, out, **(price_options or {}))

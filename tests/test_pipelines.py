@@ -229,8 +229,11 @@ def test_weekly_run_writes_every_stage(spark, tmp_path):
         impact_options={"how": "left"},
     )
     read = lambda name: spark.read.parquet(f"{out}/{name}_{period}")
-    split = read("prices").count() + read("prices_exceptions").count()
-    assert split == read("prices_all").count() == read("fact").count() > 0
+    prices = read("prices")
+    assert prices.count() == read("fact").count() > 0
+    regular = F.col("exception").isNull() & F.col("group_exception").isNull()
+    assert prices.filter(regular != (F.col("part") == "regular")).count() == 0 and prices.select("part").distinct().count() == 2
+    assert spark.read.parquet(f"{out}/catalogue_skus").count() == roles.cats.skus.count()
     assert impact.rows.count() == read("impact").count() > 0
     assert read("store_history").count() > 0 and read("impact_counts").agg(F.sum("n")).first()[0] == impact.rows.count()
     for name in ("national", "recent_national", "recent_store", "impact_nulls", "impact_sku", "impact_store", "impact_subdept", "impact_promos", "prices_auxiliary"):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from registry.roles import Roles
 from shelfwise.operators import picks, pricestats, ranking, rollups
+from shelfwise.operators.joins import left_join_spread
 from shelfwise.plans import competitor_stats as comp_plan
 from shelfwise.plans import fact_table as fact_plan
 
@@ -117,3 +118,22 @@ def test_cuts_of_large_groups_shuffle_only_what_is_inside_the_brackets(spark):
 def test_nine_keys_count_distinct_on_reduced_rows(roles):
     plan = plan_of(rollups.rollup_nine_keys(roles.fact))
     assert "partial_sum(amount" in plan[plan.index("Expand") :], "sums by article and store come before the expansion"
+
+
+def test_missing_groups_are_dealt_over_all_tasks(spark):
+    """Nine rows of ten have no group; none of the tasks of the join gets more than a few of them."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"]
+    before = {k: spark.conf.get(k, None) for k in names}
+    spark.conf.set(names[0], "-1")
+    spark.conf.set(names[1], "false")
+    try:
+        rows = spark.range(0, 20_000, 1, 4).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 70).alias("g"))
+        right = spark.range(0, 70, 10).select(F.col("id").alias("g"), (F.col("id") * 2).alias("v"))
+        out = left_join_spread(rows, right, ["g"], ["id"])
+        assert sorted(out.columns) == ["g", "id", "v"] and "_spread" in plan_of(out)
+        assert out.filter("NOT v <=> g * 2").count() == 0 and out.count() == 20_000
+        by_task = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(by_task) == 8 and max(by_task) < 2 * 20_000 / 8
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
