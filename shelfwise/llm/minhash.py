@@ -12,8 +12,9 @@ registers. A register keeps its earliest point, so two registers agree with a pr
 exactly the weighted similarity. Points later than all registers need are never made: a text
 costs one draw per shingle and interval, and a number of points that does not grow with it.
 
-Texts that agree in a band of registers are compared exactly: first with the least text of
-the band, then, for bands that still hold several classes, with the rest of other classes.
+Texts that agree in a band of registers are compared exactly: first, in a few turns, with one
+text of the band's largest class. Texts of bands that still hold several classes are then compared
+across classes where they share one of their rarest shingles, without which they cannot be linked.
 
 A missing text is empty. Texts without words are linked with none but identical ones.
 Repeated rows and copies belong to one class. A missing id is smaller than any other and
@@ -44,6 +45,8 @@ REGISTERS = BANDS * ROWS
 # on average, and more than MOST_FLIPS with a probability under 1e-8
 SKETCH_LONGS = 2
 MOST_FLIPS = 36
+# turns in which each bucket compares one text with the others, before the rest are compared exactly
+LEADER_TURNS = 2
 
 
 def shingles(texts: Texts, words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -245,9 +248,16 @@ def _may_be_similar() -> Column:
     return weights & (flips <= MOST_FLIPS)
 
 
-def _with_leaders(buckets: DataFrame) -> DataFrame:
-    """Pairs of every text of a bucket and its least."""
-    leaders = buckets.groupBy("key").agg(F.min(F.struct("node", "weight", "bits", "class")).alias("leader"))
+def _with_leaders(buckets: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a text of each bucket's largest class, another one each turn, and the texts of its other classes."""
+    sizes = buckets.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", -F.col("class"))).alias("of")).select("key", (-F.col("of.col2")).alias("class"))
+    order = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.col("node"), F.col("node"))
+    leaders = (
+        buckets.join(largest, ["key", "class"], "left_semi")
+        .groupBy("key")
+        .agg(F.min_by(F.struct("node", "weight", "bits", "class"), order).alias("leader"))
+    )
     return buckets.join(leaders, "key", "inner").select(
         F.least("node", "leader.node").alias("a"),
         F.greatest("node", "leader.node").alias("b"),
@@ -259,37 +269,91 @@ def _with_leaders(buckets: DataFrame) -> DataFrame:
     )
 
 
-def _across(buckets: DataFrame) -> DataFrame:
-    """Pairs of texts of different classes in a bucket."""
-    side = lambda c: buckets.select("key", *(F.col(x).alias(f"{c}_{x}") for x in ("node", "weight", "bits", "class")))
-    return side("a").join(side("b"), "key", "inner").select(
-        F.col("a_node").alias("a"),
-        F.col("b_node").alias("b"),
-        "a_weight",
-        "b_weight",
-        "a_bits",
-        "b_bits",
-        ((F.col("a_class") != F.col("b_class")) & (F.col("a_node") < F.col("b_node"))).alias("apart"),
+def _units(texts: DataFrame) -> DataFrame:
+    """(node, weight, units) of (node, text): each shingle as often as it occurs, told apart by number."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part_texts in chunks(batch.column("text")):
+                n = len(part_texts.offsets) - 1
+                owner, x, count = shingles(part_texts)
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                units = mix(np.repeat(x, count) ^ mix(nth.astype(np.uint64), 13), 14)
+                weight = np.bincount(owner, weights=count, minlength=n).astype(np.int64)
+                ends = np.concatenate([[0], np.cumsum(weight)]).astype("i4")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(part_texts.first, n), pa.array(weight), pa.ListArray.from_arrays(ends, pa.array(units.view(np.int64)))],
+                    names=["node", "weight", "units"],
+                )
+
+    return texts.mapInArrow(made, "node long, weight long, units array<long>")
+
+
+def _prefixes(units: DataFrame) -> DataFrame:
+    """(node, weight, unit, place): the units by which a text can meet others that are similar enough.
+
+    Units are ordered by the number of texts they are in, rarest first. Two texts that share enough
+    share a unit among the first ``weight - least overlap + 1`` of each. Units of a single
+    text come first and meet nothing, so a text with that many of its own has no others.
+    """
+    each = units.select("node", "weight", F.explode("units").alias("unit"))
+    known = each.groupBy("unit").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1")
+    more, less = SIMILARITY[1], SIMILARITY[0]
+    own = F.col("weight") - F.size("shared")
+    length = F.col("weight") - F.ceil(F.col("weight") * less / more).cast("long") + 1
+    ordered = each.join(known, "unit", "inner").groupBy("node", "weight").agg(F.array_sort(F.collect_list(F.struct("texts", "unit"))).alias("shared"))
+    return (
+        ordered.withColumn("own", own)
+        .filter(length > F.col("own"))
+        .select("node", "weight", "own", F.posexplode(F.expr("slice(shared, 1, int(least(size(shared), {})))".format(f"weight - ceil(weight * {less} / {more}) + 1 - own"))).alias("at", "one"))
+        .select("node", "weight", F.col("one.unit").alias("unit"), (F.col("own") + F.col("at")).alias("place"))
     )
 
 
+def _apart(prefixes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts of different classes that may be similar enough, of (node, class, weight, unit, place).
+
+    Pairs within the largest class of a unit are never formed: texts outside it meet all. Units
+    before a shared one at its places are in one text only, which bounds what the texts can share.
+    """
+    sizes = prefixes.groupBy("unit", "class").agg(F.count(F.lit(1)).alias("n"))
+    largest = sizes.groupBy("unit").agg(F.max(F.struct("n", "class")).alias("of"), F.count(F.lit(1)).alias("classes"))
+    named = prefixes.join(largest.filter("classes > 1").select("unit", F.col("of.class").alias("largest")), "unit", "inner")
+    side = lambda rows, c: rows.select("unit", *(F.col(x).alias(f"{c}_{x}") for x in ("node", "class", "weight", "place")), (F.col("class") == F.col("largest")).alias(f"{c}_in_largest"))
+    most = F.least(F.col("a_weight") - F.col("a_place"), F.col("b_weight") - F.col("b_place"))
+    more, less = SIMILARITY[1], SIMILARITY[0]
+    enough = most * (more + less) >= (F.col("a_weight") + F.col("b_weight")) * less
+    once = F.col("b_in_largest") | (F.col("a_node") < F.col("b_node"))
+    pairs = side(named.filter("class <> largest"), "a").join(side(named, "b"), "unit", "inner").filter((F.col("a_class") != F.col("b_class")) & once & enough)
+    return pairs.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+
+
 def _classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, component) of the nodes that have links."""
     keys = nodes.filter("weight > 0").select(F.explode("bands").alias("key"), "node", "weight", "bits")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     buckets = stage(keys.join(shared, "key", "left_semi"), "buckets")
     texts = stage(_texts_of(docs, nodes, buckets.select("node").distinct()), "bucket_texts")
-    pairs = lambda found: found.filter("apart").filter(_may_be_similar()).select("a", "b").distinct()
-    first = stage(pairs(_with_leaders(buckets.withColumn("class", F.col("node")))), "leader_pairs")
-    links = stage(_verified(first, texts), "links")
-    # buckets of one class are done; in the others, all pairs across classes are left to try
-    named = buckets.join(components(links), "node", "left").select(
-        "key", "node", "weight", "bits", F.coalesce("component", "node").alias("class")
-    )
-    mixed = named.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most").select("key")
-    rest = stage(pairs(_across(stage(named.join(mixed, "key", "left_semi"), "mixed_buckets"))), "pairs")
-    more = stage(_verified(rest.join(first, ["a", "b"], "left_anti"), texts), "more_links")
-    unstage(buckets, texts, first, rest)
+    mixed = buckets.withColumn("class", F.col("node"))
+    links, tried = None, None
+    for turn in range(LEADER_TURNS):
+        pairs = _with_leaders(mixed, turn).filter("apart").filter(_may_be_similar()).select("a", "b").distinct()
+        pairs = stage(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "leader_pairs")
+        found = stage(_verified(pairs, texts), "links")
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        links = found if links is None else links.unionByName(found)
+        # buckets of one class are done
+        named = buckets.join(components(links), "node", "left").select(
+            "key", "node", "weight", "bits", F.coalesce("component", "node").alias("class")
+        )
+        of_more = named.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most").select("key")
+        mixed = stage(named.join(of_more, "key", "left_semi"), "mixed_buckets")
+    # what is left are texts that may be linked across classes; those that share a rare enough unit are compared
+    open_texts = stage(mixed.select("node", "class").distinct(), "open_texts")
+    prefixes = stage(_prefixes(stage(_units(texts.join(open_texts, "node", "left_semi")), "units")).join(open_texts, "node", "inner"), "prefixes")
+    rest = stage(_apart(prefixes).join(tried, ["a", "b"], "left_anti"), "pairs")
+    more = stage(_verified(rest, texts), "more_links")
+    unstage(buckets, texts, mixed, prefixes, rest)
     return components(links.unionByName(more))
 
 
@@ -302,9 +366,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         nodes.join(classes, "node", "left").select("digest", "first", F.coalesce("component", "node").alias("class")), "node_classes"
     )
     rows = sketches.select("doc_id", "row", "digest").join(of_node.select("digest", "class"), "digest", "inner")
-    named = (
-        rows.groupBy("class").agg(F.min(_first()).alias("first"), F.count(F.lit(1)).alias("class_size"))
-    )
+    # written, so that the join below can split a class with many rows
+    named = stage(rows.groupBy("class").agg(F.min(_first()).alias("first"), F.count(F.lit(1)).alias("class_size")), "class_names")
     return rows.join(named, "class", "inner").select(
         "doc_id",
         F.col("first.doc_id").alias("class_id"),
