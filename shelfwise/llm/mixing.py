@@ -2,10 +2,12 @@
 
 Every source gets a target; the total is cut into blocks of ``BLOCK_WORDS`` words, which the
 sources win as seats by highest quotients. A source deals its seats to its shards in the
-same way, so each shard has a whole number of blocks to take. In a shard the documents stand
-in seeded order, and its quota picks every block equally often but for a remainder, which is
-spread evenly from a seeded start. What a document gives is then plain arithmetic on its
-place in the shard: nothing is listed block by block.
+same way, so each shard has a whole number of blocks to take. What a source's blocks differ from
+its target, less than a block or all of a small source, is settled in words over its shards. In
+a shard the documents stand in seeded order, and its quota takes every word equally often but
+for a remainder, taken from blocks that are spread evenly from a seeded start, the last of them
+in part. What a document gives is then plain arithmetic on its place in the shard: nothing is
+listed block by block.
 
 A missing text has no words. Sources are in code point order, a missing one last. Sources
 and documents without words get nothing; repeated rows are documents of their own. An empty
@@ -37,7 +39,7 @@ BROADCAST_SOURCES = 10_000
 
 class Plan(NamedTuple):
     sources: DataFrame  # source, source_no, source_size, target, shards
-    quotas: DataFrame  # source_no, shard, blocks, quota, first
+    quotas: DataFrame  # source_no, shard, shard_size, blocks, quota (words), first
 
 
 def word_count(text: Column) -> Column:
@@ -128,22 +130,33 @@ def plan_mix(sizes: DataFrame) -> Plan:
     shards = (
         _with_source(sizes, sources)
         .groupBy("source_no", "shard")
-        .agg(F.sum("size").cast("double").alias("shard_size"), F.first("source_quota").alias("source_quota"))
-    )
-    quotas = apportion(shards, ["source_no"], "shard", "shard_size", "source_quota").select(
-        "source_no",
-        "shard",
-        F.expr(f"greatest(1L, bigint(ceil(shard_size / {BLOCK_WORDS})))").alias("blocks"),
-        "won",
+        .agg(
+            F.sum("size").alias("shard_size"),
+            F.sum("size").cast("double").alias("votes"),
+            *(F.first(c).alias(c) for c in ("source_quota", "source_size", "target")),
+        )
     )
+    # as many rows in a window as a source has shards
+    of_source = Window.partitionBy("source_no")
+    so_far = of_source.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     start = f"conv(substr(md5(concat('{SEED}:', string(source_no), ':', string(shard))), 1, 8), 16, 10)"
+    quotas = (
+        apportion(shards, ["source_no"], "shard", "votes", "source_quota")
+        .withColumn("blocks", F.expr(f"greatest(1L, bigint(ceil(votes / {BLOCK_WORDS})))"))
+        .withColumn("in_blocks", F.expr(f"least(won * {BLOCK_WORDS}, {CAP} * shard_size)"))
+        .withColumn("open_words", F.expr("floor(target + 0.5)") - F.sum("in_blocks").over(of_source))
+        .withColumn("size_so_far", F.sum("shard_size").over(so_far))
+        .withColumn("settled", F.expr("bigint(floor(double(open_words) * size_so_far / greatest(source_size, 1L)))"))
+        .withColumn("settled", F.col("settled") - F.coalesce(F.lag("settled").over(of_source.orderBy("shard")), F.lit(0)))
+    )
     return Plan(
         sources,
         quotas.select(
             "source_no",
             "shard",
+            "shard_size",
             "blocks",
-            F.expr(f"least(won, {CAP} * blocks)").alias("quota"),
+            F.expr(f"greatest(0L, least(in_blocks + settled, {CAP} * shard_size))").alias("quota"),
             F.expr(f"pmod(bigint({start}), blocks)").alias("first"),
         ),
     )
@@ -151,7 +164,7 @@ def plan_mix(sizes: DataFrame) -> Plan:
 
 def _picked_before(place: str) -> str:
     """SQL of the remainder blocks picked among the first ``place`` blocks of a shard."""
-    return f"((({place}) + first) * remainder div blocks - first * remainder div blocks)"
+    return f"((({place}) + first) * picked div blocks - first * picked div blocks)"
 
 
 def _taken_before(words: str) -> str:
@@ -159,7 +172,7 @@ def _taken_before(words: str) -> str:
     block = f"({words}) div {BLOCK_WORDS}"
     within = f"({words}) % {BLOCK_WORDS}"
     picked = f"({_picked_before(f'{block} + 1')} - {_picked_before(block)})"
-    return f"rounds * ({words}) + {BLOCK_WORDS} * {_picked_before(block)} + {within} * {picked}"
+    return f"rounds * ({words}) + least(rest, {BLOCK_WORDS} * {_picked_before(block)} + {within} * {picked})"
 
 
 def place(rows: DataFrame, plan: Plan) -> DataFrame:
@@ -170,8 +183,10 @@ def place(rows: DataFrame, plan: Plan) -> DataFrame:
         .join(plan.quotas, ["source_no", "shard"], "inner")
         .withColumn("until", F.sum("size").over(seeded.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("since", F.expr("until - size"))
-        .withColumn("rounds", F.expr("quota div blocks"))
-        .withColumn("remainder", F.expr("quota % blocks"))
+        .withColumn("rounds", F.expr("quota div greatest(shard_size, 1L)"))
+        .withColumn("rest", F.expr("quota % greatest(shard_size, 1L)"))
+        # one block more than the rest fills, as the last one of the shard may be short
+        .withColumn("picked", F.expr(f"CASE WHEN rest > 0 THEN least(blocks, bigint(ceil(rest / {BLOCK_WORDS})) + 1) ELSE 0L END"))
         .withColumn("taken", F.expr(f"{_taken_before('until')} - ({_taken_before('since')})"))
     )
 
@@ -215,7 +230,7 @@ def mixed_documents(
         word_count(whole_text(text_col)).alias("size"),
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
     )
-    picked = f"{_picked_before('b + 1')} > {_picked_before('b')}"
+    chosen = f"{_picked_before('b + 1')} > {_picked_before('b')}"
     placed = (
         place(rows, plan)
         .filter("taken > 0")
@@ -225,9 +240,10 @@ def mixed_documents(
         .withColumn("part_text", F.expr(f"""
             CASE WHEN part = size THEN text
                  WHEN part > 0 THEN array_join(transform(
-                     filter(sequence(since div {BLOCK_WORDS}, (until - 1) div {BLOCK_WORDS}), b -> {picked}),
+                     filter(sequence(since div {BLOCK_WORDS}, (until - 1) div {BLOCK_WORDS}), b -> {chosen}),
                      b -> array_join(slice(words, int(greatest(b * {BLOCK_WORDS} - since, 0L)) + 1,
-                         int(least((b + 1) * {BLOCK_WORDS}, until) - greatest(b * {BLOCK_WORDS}, since))), '')), '')
+                         int(greatest(0L, least((b + 1) * {BLOCK_WORDS}, until, b * {BLOCK_WORDS} + rest - {BLOCK_WORDS} * {_picked_before('b')})
+                             - greatest(b * {BLOCK_WORDS}, since)))), '')), '')
             END"""))
         .withColumn("mixed", F.explode(F.expr(
             "concat(array_repeat(text, int(rounds)), CASE WHEN part > 0 THEN array(part_text) ELSE array() END)")))

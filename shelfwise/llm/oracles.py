@@ -11,14 +11,14 @@ FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
 _BLOCK, _ROOT = 64, 64
-_PICKED = "((({p}) + first) * remainder // blocks - first * remainder // blocks)"
+_PICKED = "((({p}) + first) * picked // blocks - first * picked // blocks)"
 _BLOCK_OF = "(({w}) // " + str(_BLOCK) + ")"
 
 
 def _taken(words: str) -> str:
     block = _BLOCK_OF.format(w=words)
     before, after = _PICKED.format(p=block), _PICKED.format(p=block + " + 1")
-    return f"(rounds * ({words}) + {_BLOCK} * {before} + (({words}) % {_BLOCK}) * ({after} - {before}))"
+    return f"(rounds * ({words}) + least(rest, {_BLOCK} * {before} + (({words}) % {_BLOCK}) * ({after} - {before})))"
 
 
 MIX = f"""
@@ -55,14 +55,27 @@ WITH d AS (
                row_number() OVER (PARTITION BY source_no ORDER BY votes / (2 * k - 1) DESC, shard, k) AS n
         FROM h JOIN source_seats USING (source_no), generate_series(1, quota) AS g(k) WHERE votes > 0)
     WHERE n <= quota GROUP BY ALL
+), in_blocks AS (
+    SELECT h.*, greatest(1, ceil(votes / {_BLOCK}))::BIGINT AS blocks,
+           least({_BLOCK} * coalesce(won, 0), 2 * votes::BIGINT)::BIGINT AS in_blocks, target, source_size
+    FROM h LEFT JOIN shard_seats USING (source_no, shard) JOIN t USING (source_no)
+), in_words AS (
+    SELECT *, floor((floor(target + 0.5) - sum(in_blocks) OVER (PARTITION BY source_no))::DOUBLE
+                    * (sum(votes) OVER (PARTITION BY source_no ORDER BY shard)) / greatest(source_size, 1))::BIGINT AS settled
+    FROM in_blocks
+), words AS (
+    SELECT source_no, shard, votes::BIGINT AS shard_size, blocks,
+           greatest(0, least(in_blocks + settled - coalesce(lag(settled) OVER (PARTITION BY source_no ORDER BY shard), 0),
+                             2 * votes::BIGINT))::BIGINT AS quota
+    FROM in_words
 ), q AS (
-    SELECT source_no, shard, blocks, first, quota // blocks AS rounds, quota % blocks AS remainder
-    FROM (SELECT *, least(coalesce(won, 0), 2 * blocks) AS quota,
-                 ('0x' || substr(md5(concat('mix:', source_no, ':', shard)), 1, 8))::BIGINT % blocks AS first
-          FROM (SELECT *, greatest(1, ceil(votes / {_BLOCK}))::BIGINT AS blocks FROM h)
-          LEFT JOIN shard_seats USING (source_no, shard))
+    SELECT source_no, shard, blocks, quota // greatest(shard_size, 1) AS rounds, quota % greatest(shard_size, 1) AS rest,
+           CASE WHEN quota % greatest(shard_size, 1) > 0
+                THEN least(blocks, ceil((quota % greatest(shard_size, 1)) / {_BLOCK}::DOUBLE)::BIGINT + 1) ELSE 0 END AS picked,
+           ('0x' || substr(md5(concat('mix:', source_no, ':', shard)), 1, 8))::BIGINT % blocks AS first
+    FROM words
 ), o AS (
-    SELECT p.*, q.blocks, q.first, q.rounds, q.remainder,
+    SELECT p.*, q.blocks, q.first, q.rounds, q.rest, q.picked,
            (sum(size) OVER (PARTITION BY source_no, shard ORDER BY ticket, doc_id, size ROWS UNBOUNDED PRECEDING))::BIGINT AS until
     FROM p JOIN q USING (source_no, shard)
 )

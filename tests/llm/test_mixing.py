@@ -62,7 +62,7 @@ def test_rules(spark, table):
     for r in out:
         taken[r.target] += r.taken
     for t, n in taken.items():
-        assert abs(n - t) <= 64 * 14
+        assert abs(n - t) <= 1
     again = mix(docs.repartition(9)).collect()
     assert Counter(map(tuple, out)) == Counter(map(tuple, again))
 
@@ -86,3 +86,33 @@ def test_empty_and_wordless(spark, table):
     blank = table(COLUMNS, (1, None, "a", 0), (2, "  ", None, 0))
     assert sorted(map(tuple, mix(blank).collect())) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     assert mixed_documents(blank).collect() == []
+
+
+def test_small_sources_reach_their_targets(spark, table):
+    """Sources of fewer words than a block, in small and in larger company."""
+    for sizes in ([20, 25, 30, 40, 70], [1, 2, 3], [14], [5, 5, 5, 20_000], [63, 64, 65, 1]):
+        words = {f"s{k}": n for k, n in enumerate(sizes)}
+        rows = [(k, "w " * (n // 2), s, 0) for k, (s, n) in enumerate(words.items())]
+        rows += [(100 + k, "v " * (n - n // 2), s, 0) for k, (s, n) in enumerate(words.items())]
+        out = mix(table(COLUMNS, *rows)).collect()
+        want, taken = targets(words), Counter()
+        for r in out:
+            taken[rows[r.doc_id % 100][2]] += r.taken
+            assert 0 <= r.taken <= 2 * r.size
+        assert all(abs(taken[s] - want[s]) <= 0.5 for s in words)
+        assert sum(taken.values()) > 0
+
+
+def test_sources_with_many_shards(spark, table):
+    rows = [(i, f"{'x ' * (i % 50)}", "big" if i % 4 else "rest", 0) for i in range(4000)]
+    with_one_long = [*rows, (9000, "y " * 70_000, "big", 0)]
+    for part in (rows, with_one_long):
+        sizes = Counter()
+        for _, t, s, _ in part:
+            sizes[s] += len(t.split())
+        taken = Counter()
+        source = {i: s for i, _, s, _ in part}
+        for r in mix(table(COLUMNS, *part)).collect():
+            taken[source[r.doc_id]] += r.taken
+        for s, t in targets(sizes).items():
+            assert abs(taken[s] - t) <= 64 * 5
