@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.tables import fresh, whole_text
+from shelfwise.llm.tables import columns_of, fresh, quoted, whole_text
 from shelfwise.session import stage
 
 COUNTERS = 1024
@@ -62,7 +62,7 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     rows = stage(
         docs.select(
-            F.col(id_col).cast("long").alias("doc_id"),
+            quoted(id_col).cast("long").alias("doc_id"),
             F.sha2(whole_text(text_col), 256).alias("text_sha256"),
             F.monotonically_increasing_id().alias("row"),
         ),
@@ -99,7 +99,7 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     digest, keep, place = (fresh(n, docs.columns) for n in ("digest", "keep_id", "place"))
     marked = docs.withColumn(digest, F.sha2(whole_text(text_col), 256))
-    rows = stage(marked.select(F.col(id_col).alias(keep), digest), "digests")
+    rows = stage(marked.select(quoted(id_col).alias(keep), digest), "digests")
     heavy = stage(
         rows.join(F.broadcast(heavy_candidates(rows, digest, counters)), digest, "left_semi")
         .groupBy(digest)
@@ -108,13 +108,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     winners = (
         marked.join(F.broadcast(heavy), digest, "inner")
-        .filter(F.col(id_col).eqNullSafe(F.col(keep)))
+        .filter(quoted(id_col).eqNullSafe(F.col(keep)))
         .dropDuplicates([digest])
     )
-    newest = Window.partitionBy(digest).orderBy(F.col(id_col).desc_nulls_last())
+    newest = Window.partitionBy(digest).orderBy(quoted(id_col).desc_nulls_last())
     rest = (
         marked.join(F.broadcast(heavy), digest, "left_anti")
         .withColumn(place, F.row_number().over(newest))
         .filter(F.col(place) == 1)
     )
-    return winners.select(*docs.columns).unionByName(rest.select(*docs.columns))
+    return winners.select(*columns_of(docs)).unionByName(rest.select(*columns_of(docs)))

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.tables import fresh, ids_and_texts, whole_text
+from shelfwise.llm.tables import columns_of, fresh, ids_and_texts, quoted, whole_text
 from shelfwise.llm.wordhash import Texts, chunks, mix, range_hashes, word_hashes
 from shelfwise.session import stage, unstage
 
@@ -384,10 +384,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     verdict = stage(near_copies(docs, id_col, text_col), "near_copies").select(
         F.coalesce("doc_id", missing).alias(key), F.col("text_sha256").alias(digest), "kept"
     )
-    marked = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), missing)).withColumn(digest, F.sha2(whole_text(text_col), 256))
+    marked = docs.withColumn(key, F.coalesce(quoted(id_col).cast("long"), missing)).withColumn(digest, F.sha2(whole_text(text_col), 256))
     # rows with the same id and text are told apart only if there are any that stay
     repeated = verdict.groupBy(key, digest).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
     out = marked.join(repeated.filter("NOT kept"), [key, digest], "left_anti")
     if not repeated.filter("kept AND n > 1").isEmpty():
         out = out.dropDuplicates([key, digest])
-    return out.select(*docs.columns)
+    return out.select(*columns_of(docs))

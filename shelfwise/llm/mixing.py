@@ -21,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.tables import whole_text
+from shelfwise.llm.tables import columns_of, quoted, whole_text
 from shelfwise.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -194,8 +194,8 @@ def place(rows: DataFrame, plan: Plan) -> DataFrame:
 def _sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
     return stage(
         docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).alias("source"),
+            quoted(id_col).alias("doc_id"),
+            quoted(source_col).alias("source"),
             F.expr(_ticket(f"`{id_col}`")).alias("ticket"),
             word_count(whole_text(text_col)).alias("size"),
         ),
@@ -224,17 +224,17 @@ def mixed_documents(
     """
     plan = plan_mix(_sizes(docs, id_col, source_col, text_col))
     rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.col(source_col).alias("source"),
+        quoted(id_col).alias("doc_id"),
+        quoted(source_col).alias("source"),
         F.expr(_ticket(f"`{id_col}`")).alias("ticket"),
         word_count(whole_text(text_col)).alias("size"),
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.struct(*columns_of(docs)).alias("row"),
     )
     chosen = f"{_picked_before('b + 1')} > {_picked_before('b')}"
     placed = (
         place(rows, plan)
         .filter("taken > 0")
-        .withColumn("text", F.col(f"row.`{text_col}`"))
+        .withColumn("text", F.col("row").getField(text_col))
         .withColumn("part", F.expr("taken - rounds * size"))
         .withColumn("words", F.when(F.expr("part > 0 AND part < size"), F.regexp_extract_all("text", F.lit(WORD_WITH_SPACE), F.lit(0))))
         .withColumn("part_text", F.expr(f"""
@@ -255,5 +255,5 @@ def mixed_documents(
         elif c == length_col:
             columns.append(F.length("mixed").cast(docs.schema[c].dataType).alias(c))
         else:
-            columns.append(F.col(f"row.`{c}`").alias(c))
+            columns.append(F.col("row").getField(c).alias(c))
     return placed.select(*columns)

@@ -22,8 +22,9 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfwise.llm.tables import fresh, ids_and_texts, whole_text
+from shelfwise.llm.tables import ids_and_texts, quoted
 from shelfwise.llm.wordhash import Texts, chunks, mix, word_hashes
 from shelfwise.session import stage
 
@@ -225,12 +226,13 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str
                     names=["doc_id", "grade", "features"],
                 )
 
-    # a repeated document counts once
+    # of a repeated id with different texts the one with the least features counts
     rows = stage(
         ids_and_texts(docs, id_col, text_col)
         .join(F.broadcast(chosen), "doc_id", "inner")
         .mapInArrow(features, "doc_id long, grade int, features array<int>")
-        .dropDuplicates(["doc_id"]),
+        .groupBy("doc_id", "grade")
+        .agg(F.min("features").alias("features")),
         "graded_features",
     )
     known = _telling_features(rows)
@@ -254,12 +256,11 @@ def train(docs: DataFrame, grades: DataFrame, sample: int = SAMPLE, id_col: str
 def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with expected_grade and tail_probability; columns of those names are replaced."""
     bare = docs.drop("expected_grade", "tail_probability")
-    text = fresh("whole_text", bare.columns)
-    columns = bare.columns
+    columns, at = bare.columns, bare.columns.index(text_col)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in chunks(batch.column(len(columns))):
+            for texts in chunks(pa.compute.fill_null(batch.column(at), "")):
                 found, first = features_of(texts)
                 below = model.at_most(model.scores(found, first))
                 part = batch.slice(texts.first, len(first) - 1)
@@ -268,8 +269,8 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                     names=[*columns, "expected_grade", "tail_probability"],
                 )
 
-    out = bare.select("*", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail_probability"))
-    return bare.withColumn(text, whole_text(text_col)).mapInArrow(scored, out.schema)
+    grades = T.StructType().add("expected_grade", "double").add("tail_probability", "double")
+    return bare.mapInArrow(scored, T.StructType([*bare.schema.fields, *grades.fields]))
 
 
 def graded_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -282,7 +283,10 @@ def graded_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
 
 
 def good_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The documents that stay, with the columns of ``docs``."""
-    if {"expected_grade", "tail_probability"} & set(docs.columns):
-        raise ValueError("the documents already have grades")
-    return score(docs, model, text_col).filter(F.col("tail_probability") >= KEEP_AT).select(*docs.columns)
+    """The documents that stay, with the columns of ``docs``, whatever their names are."""
+    others = [quoted(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c != text_col]
+    packed = docs.select(quoted(text_col).alias("text"), F.struct(F.lit(True).alias("row"), *others).alias("others"))
+    back = [
+        F.col("text").alias(c) if c == text_col else F.col(f"others.c{i}").alias(c) for i, c in enumerate(docs.columns)
+    ]
+    return score(packed, model).filter(F.col("tail_probability") >= KEEP_AT).select(*back)

@@ -21,11 +21,16 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def columns_of(docs: DataFrame) -> list[Column]:
+    """All columns by name, whatever is in their names."""
+    return [quoted(c).alias(c) for c in docs.columns]
+
+
 def whole_text(name: str = "text") -> Column:
     """The text of a row; a missing one is empty."""
-    return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(quoted(name), F.lit(""))
 
 
 def ids_and_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, under names no other column can clash with."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
+    return docs.select(quoted(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))

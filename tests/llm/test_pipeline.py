@@ -76,4 +76,26 @@ def test_packing(stages):
 
 def test_run(spark, stages):
     rows = corpus_pipeline.run(spark, SF_DIR)
-    assert rows.columns == stages[5].columns and rows.count() > 0
+    assert rows.columns == stages[5].columns
+    tokens = lambda df: sorted(map(tuple, df.groupBy("doc_id").agg(F.sum("length"), F.max("doc_tokens")).collect()))
+    assert tokens(rows) == tokens(stages[5])
+
+
+def test_any_extra_columns_pass_all_stages(spark, stages, tmp_path):
+    """Names in any case, with dots and backticks, and like those the operators use themselves."""
+    names = ["Expected_Grade", "TAIL_probability", "a.b", "we`ird", "Keep_ID", "digest", "near_key", "row", "class", "ticket", "size", "words", "mixed", "others", "c0"]
+    extra = stages[0].select("*", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names))
+    docs = extra.unionByName(
+        spark.createDataFrame([(None, None, None, None, None), (-1, "", "en", "s", 0), (-2, "good words " * 60_000, "en", "s", 0)], stages[0].schema), allowMissingColumns=True
+    )
+    for k, (_, function) in enumerate(corpus_pipeline.STAGES[:-1]):
+        function(spark, docs, SF_DIR).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        assert docs.columns == extra.columns
+    quoted = lambda n: F.col("`" + n.replace("`", "``") + "`")
+    wrong = [docs.filter((quoted(n) != F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string"))) & (F.col("doc_id") >= 0)) for n in names]
+    assert all(df.isEmpty() for df in wrong)
+    before = {r.doc_id for r in stages[4].select("doc_id").collect()}
+    assert {r.doc_id for r in docs.select("doc_id").collect()} >= {i for i in before if i is not None and i >= 0}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert pieces.columns == stages[5].columns and pieces.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
