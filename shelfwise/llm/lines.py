@@ -7,8 +7,8 @@ longer holds it nearly where it was; so segments are indexed by length, number a
 a line probes the index with its substrings of segment length whose shift the edits before and
 after can explain. Lines too short for segments of ``LEAST_SEGMENT`` characters, and those up to
 ``EDITS`` longer, meet instead by what is left of them after at most ``EDITS`` deletions: two
-linked lines have such a rest in common. What meets is compared by the parities of its character
-counts, inside the join, and then by a banded bit-parallel edit distance. Lines of at most
+linked lines have such a rest in common. What meets is compared by the parities of its counts of
+adjacent characters, inside the join, and then by a banded bit-parallel edit distance. Lines of at most
 ``EDITS`` characters are all linked with each other, so these links are counted without being
 listed. Classes are what links connect.
 
@@ -36,6 +36,8 @@ from shelfwise.session import stage, unstage
 EDITS = 2
 LEAST_LENGTH = 0  # of lines that can be linked: all
 LEAST_SEGMENT = 4
+# bits of a line's parities that an edit can change
+FLIPS = 4
 CHUNK = 1 << 20
 SLICE = 1 << 11
 
@@ -92,10 +94,11 @@ def rest_keys(points: np.ndarray, first: np.ndarray, length: int, edits: int = E
 
 
 def parities(points: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """64 bits per line, the parity of the counts of characters that hash to each: an edit flips two at most."""
-    bits = np.uint64(1) << (mix(points, 90) >> np.uint64(58))
+    """64 bits per line, the parity of the counts of adjacent characters that hash to each: an edit flips four at most."""
+    follows = np.append(points[1:], np.uint64(0))
+    bits = np.uint64(1) << (mix(points ^ mix(follows, 91), 90) >> np.uint64(58))
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.bitwise_xor.accumulate(bits)])
-    return total[first + length] ^ total[first]
+    return total[first + np.maximum(length - 1, 0)] ^ total[first]
 
 
 def _points(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,7 +263,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     flips = F.bit_count(F.col("i.parity").bitwiseXOR(F.col("p.parity")))
     pairs = stage(
         index.alias("i")
-        .join(probes.alias("p"), (F.col("i.key") == F.col("p.key")) & (F.col("i.line") != F.col("p.line")) & (flips <= 2 * edits), "inner")
+        .join(probes.alias("p"), (F.col("i.key") == F.col("p.key")) & (F.col("i.line") != F.col("p.line")) & (flips <= FLIPS * edits), "inner")
         .select(F.least("i.line", "p.line").alias("a"), F.greatest("i.line", "p.line").alias("b"))
         .distinct(),
         "line_pairs",
@@ -273,15 +276,13 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_tiny, least = tiny.agg(F.count(F.lit(1)), F.min("line")).first()
     joining = tiny.filter(F.col("line") != F.lit(least)).select(F.lit(least).cast("long").alias("a"), F.col("line").alias("b"))
     among_tiny = F.when(F.length("content") <= edits, n_tiny - 1).otherwise(0)
-    found = stage(
-        components(links.unionByName(joining)).join(degrees.withColumnRenamed("a", "node"), "node", "left"), "line_classes"
-    )
-    of_line = lines.join(found.withColumnRenamed("node", "line"), "line", "left").withColumn("class", F.coalesce("component", "line"))
-    # only lines with links can have another first place than their own
-    firsts = (
-        of_line.filter("component IS NOT NULL").groupBy("component").agg(F.min("place").alias("first"))
-    )
-    return of_line.join(firsts, "component", "left").select(
+    found = components(links.unionByName(joining)).join(degrees.withColumnRenamed("a", "node"), "node", "left")
+    placed = stage(found.withColumnRenamed("node", "line").join(lines.select("line", "place"), "line", "inner"), "line_classes")
+    # only lines with links have a class, and can have another first place than their own; the
+    # many others meet no class, so they are not joined by one
+    firsts = placed.groupBy("component").agg(F.min("place").alias("first"))
+    of_line = stage(placed.join(firsts, "component", "inner").select("line", "n_links", "first"), "line_firsts")
+    return lines.join(of_line, "line", "left").select(
         F.col("place.doc_id").alias("doc_id"),
         F.col("place.line_no").alias("line_no"),
         "n_copies",

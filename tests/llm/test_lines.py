@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from shelfwise.llm.lines import EDITS, LEAST_LENGTH, _distance, _points, index_keys, near_lines, parities, probe_keys, segments, within_edits
+from shelfwise.llm.lines import EDITS, FLIPS, LEAST_LENGTH, _distance, _points, index_keys, near_lines, parities, probe_keys, segments, within_edits
 from shelfwise.llm.queries import op6_line_dedup
 from tests.llm.test_minhash import classes_of
 
@@ -54,7 +54,7 @@ def test_linked_lines_share_a_key_and_parities():
         short, long = sorted((x, y), key=len)
         keys = {int(k[0]) for k in index_keys(*_points([short]))}
         assert keys & {int(k[0]) for k in probe_keys(*_points([long]))}
-        assert bin(int(parities(*_points([x]))[0] ^ parities(*_points([y]))[0])).count("1") <= 2 * EDITS
+        assert bin(int(parities(*_points([x]))[0] ^ parities(*_points([y]))[0])).count("1") <= FLIPS * EDITS
 
 
 def by_all_pairs(rows):
