@@ -189,8 +189,8 @@ def _each_text(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, bytes]]
             yield texts.first + i, hashes[a:b], texts.data[texts.offsets[i] : texts.offsets[i + 1]].tobytes()
 
 
-def _windows(candidates: DataFrame) -> DataFrame:
-    """(one, two, doc, part) of every window in the zones of the candidates, named by 64 and 32 bits."""
+def _windows(candidates: DataFrame, key: list[str]) -> DataFrame:
+    """(one, two, *key) of every window in the zones of the candidates, named by 64 and 32 bits."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,16 +204,23 @@ def _windows(candidates: DataFrame) -> DataFrame:
                 two = (two[held][first] >> np.uint64(32)).astype("u4")
                 row = pa.array(np.full(len(one), i))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int32)),
-                        batch.column("doc").take(row),
-                        batch.column("part").take(row),
-                    ],
-                    names=["one", "two", "doc", "part"],
+                    [pa.array(one.view(np.int64)), pa.array(two.view(np.int32)), *(batch.column(k).take(row) for k in key)],
+                    names=["one", "two", *key],
                 )
 
-    return candidates.select("doc", "part", "text", "since", "until").mapInArrow(hashed, "one long, two int, doc long, part long")
+    columns = ", ".join(f"{k} long" for k in key)
+    return candidates.select(*key, "text", "since", "until").mapInArrow(hashed, f"one long, two int, {columns}")
+
+
+def _later_windows(candidates: DataFrame, repeated: DataFrame, key: list[str]) -> DataFrame:
+    """(*key, gone): the names of the windows of each text that an earlier document has."""
+    return (
+        _windows(candidates, key)
+        .join(repeated, ["one", "two"], "inner")
+        .filter("doc > least")
+        .groupBy(*key)
+        .agg(F.collect_set(F.struct("one", "two")).alias("gone"))
+    )
 
 
 def _cut(repeats: DataFrame) -> DataFrame:
@@ -227,7 +234,14 @@ def _cut(repeats: DataFrame) -> DataFrame:
                 words = data.split()
                 keep = np.ones(len(words), dtype=bool)
                 if len(names) >= WINDOW:
-                    at = np.flatnonzero(np.isin(window_hashes(names)[0], gone[i].values.to_numpy().view(np.uint64)))
+                    # both names count
+                    one, two = window_hashes(names)
+                    found = gone[i].values
+                    known = found.field("one").to_numpy().view(np.uint64)
+                    order = np.argsort(known)
+                    known, other = known[order], found.field("two").to_numpy().view(np.uint32)[order]
+                    place = np.minimum(np.searchsorted(known, one), len(known) - 1)
+                    at = np.flatnonzero((known[place] == one) & (other[place] == (two >> np.uint64(32)).astype(np.uint32)))
                     keep = ~_covered(at, at + WINDOW, len(words))
                 left = b" ".join(w for w, k in zip(words, keep.tolist()) if k)
                 rows.append((hashlib.sha256(b" ".join(words)).hexdigest(), int((~keep).sum()), hashlib.sha256(left).hexdigest(), left.decode()))
@@ -261,19 +275,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     unstage(zones)
     # named twice rather than written: the names are many times the texts
     repeated = stage(
-        _windows(candidates)
+        _windows(candidates, ["doc"])
         .groupBy("one", "two")
         .agg(F.min("doc").alias("least"), F.max("doc").alias("most"))
         .filter("least < most")
         .drop("most"),
         "repeated_windows",
     )
+    # only documents without an id are told apart by their text
+    named, nameless = (candidates.filter(c) for c in (F.col("doc") < _LAST, F.col("doc") == _LAST))
     later = stage(
-        _windows(candidates)
-        .join(repeated, ["one", "two"], "inner")
-        .filter("doc > least")
-        .groupBy("doc", "part")
-        .agg(F.collect_set("one").alias("gone")),
+        _later_windows(named, repeated, ["doc"])
+        .withColumn("part", F.lit(0).cast("long"))
+        .unionByName(_later_windows(nameless, repeated, ["doc", "part"])),
         "later_windows",
     )
     unstage(repeated)
