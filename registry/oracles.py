@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 
-from registry.roles import RUN_PERIOD
-
-THEN_PERIOD = 200142
-FIRST_YEAR_WEEK = 200043  # 53 weeks up to the run
-MIDWEEK = "2001-11-02"
+# the run is that of the last week on record
+_MONDAY = "(SELECT date_trunc('week', max(l_shipdate)::DATE)::DATE FROM lineitem)"
+RUN_PERIOD, THEN_PERIOD, YEAR_BEFORE = (f"CAST(yearweek({_MONDAY} - {days}) AS INT)" for days in (0, 14, 364))
+MIDWEEK = f"({_MONDAY} + 4)"
 
 
 def ending(x: str) -> str:
@@ -375,9 +374,9 @@ VIEWS: dict[str, str] = {
         CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS stock_units,
         CAST(sum({_CENTS}) AS BIGINT)/100 AS stock_value, CAST(sum({_CENTS}) AS BIGINT)*7/1000 AS stock_cost
         FROM lineitem GROUP BY ALL""",
-    "snapshot": f"""SELECT sku, store, DATE '{MIDWEEK}' AS stock_date, stock_units, stock_value, stock_cost FROM inventory
+    "snapshot": f"""SELECT sku, store, {MIDWEEK} AS stock_date, stock_units, stock_value, stock_cost FROM inventory
         WHERE (sku, store, stock_date) IN (SELECT (sku, store, max(stock_date)) FROM inventory
-        WHERE stock_date <= DATE '{MIDWEEK}' GROUP BY sku, store)""",
+        WHERE stock_date <= {MIDWEEK} GROUP BY sku, store)""",
     "stores": """SELECT store, store_name, format, region, zone, store_type FROM (
         SELECT (s_suppkey%20)::INT AS store, s_name AS store_name, r_name AS format, n_name AS region,
             'Z'||CAST(s_nationkey%4 AS VARCHAR) AS zone,
@@ -426,7 +425,7 @@ VIEWS: dict[str, str] = {
         CASE WHEN stock_units=0 THEN NULL ELSE stock_value/stock_units END AS central_price,
         stock_units, stock_value, stock_cost FROM (
         SELECT *, rank() OVER (PARTITION BY sku, store ORDER BY stock_date DESC) AS k FROM inventory
-        WHERE stock_date <= DATE '{MIDWEEK}') WHERE k=1""",
+        WHERE stock_date <= {MIDWEEK}) WHERE k=1""",
     "windows": f"""SELECT period, back, CAST(yearweek(strptime(period::VARCHAR || '-1', '%G%V-%u') - to_days((7*back)::INT)) AS INT) AS seen
         FROM (SELECT DISTINCT period FROM sales), (SELECT unnest(range(0, 7))::INT AS back)""",
     "prices_by_week": "SELECT w.period, p.period AS seen, p.* EXCLUDE (period) FROM prices p JOIN windows w ON w.seen=p.period",
@@ -552,7 +551,7 @@ SQL: dict[str, str] = {
     "scan_delimited": "SELECT sku, upc, description, status FROM skus",
     "weekly_sales": "SELECT * FROM sales",
     "competitor_prices": "SELECT * FROM prices",
-    "competitor_prices_multiweek": f"SELECT * FROM prices WHERE period BETWEEN 200044 AND {RUN_PERIOD}",
+    "competitor_prices_multiweek": f"SELECT * FROM prices WHERE period BETWEEN {YEAR_BEFORE} AND {RUN_PERIOD}",
     "union_periods": "SELECT * FROM sales",
     "feed_inventory": "SELECT DISTINCT comp_source||period||'.csv' AS file, comp_source AS source, period FROM prices",
     "inventory_read": """SELECT * REPLACE (CASE WHEN sku%3=0 THEN '2001-11-02' ELSE CAST(stock_date AS VARCHAR) END AS stock_date)
@@ -602,7 +601,7 @@ SQL: dict[str, str] = {
         LEFT JOIN recent_store r ON r.upc=l.upc AND r.comp_store=b.comp_store AND r.comp_source=b.comp_source""",
     "asof_inventory": f"""SELECT sku, store, CAST(stock_date AS VARCHAR) AS stock_date, stock_units, stock_value,
         stock_cost FROM inventory JOIN (SELECT sku, store, max(stock_date) AS stock_date FROM inventory
-        WHERE stock_date <= DATE '{MIDWEEK}' GROUP BY sku, store) USING (sku, store, stock_date)""",
+        WHERE stock_date <= {MIDWEEK} GROUP BY sku, store) USING (sku, store, stock_date)""",
     "store_membership": """SELECT CAST(coalesce(a.s, b.s) AS INT) AS store, CASE WHEN b.s IS NULL THEN 'left'
         WHEN a.s IS NULL THEN 'right' ELSE 'both' END AS found_in
         FROM (SELECT DISTINCT l_suppkey AS s FROM lineitem WHERE l_returnflag='R') a

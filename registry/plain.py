@@ -14,7 +14,7 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registry.roles import LOOK_BACK, RUN_PERIOD, Roles
+from registry.roles import Roles
 from shelfwise.functions.prices import ending_price
 from shelfwise.operators.matching import OBSERVATION, matrix_prices
 from shelfwise.plans import fact_table as fact_plan
@@ -49,7 +49,7 @@ def _named(df: DataFrame, keys: list[str], prefix: str) -> DataFrame:
 
 
 def competitor_stats(r: Roles) -> DataFrame:
-    base = matrix_prices(look_back(r.prices, RUN_PERIOD, 0, LOOK_BACK), r.cats.matrix)
+    base = matrix_prices(look_back(r.prices, r.run_period, 0, r.look_back), r.cats.matrix)
     two = [F.avg("comp_price").alias("avg"), F.stddev("comp_price").alias("std")]
 
     def national(period: int, prefix: str) -> DataFrame:
@@ -64,8 +64,8 @@ def competitor_stats(r: Roles) -> DataFrame:
     recent = _named(_latest(base, OBSERVATION), OBSERVATION, "recent")
     return (
         history.join(recent, OBSERVATION, "left")
-        .join(national(RUN_PERIOD - 2, "market"), "upc", "left")
-        .join(national(RUN_PERIOD, "market_now"), "upc", "left")
+        .join(national(r.run_period - 2, "market"), "upc", "left")
+        .join(national(r.run_period, "market_now"), "upc", "left")
         .join(_named(newest, ["upc"], "recent_market"), "upc", "left")
     )
 
@@ -73,9 +73,9 @@ def competitor_stats(r: Roles) -> DataFrame:
 def priority_pick(r: Roles) -> DataFrame:
     hierarchy = r.cats.skus.select("sku", "upc", *fact_plan.HIERARCHY)
     rows = fact_plan.sales_lines(r.total_sales, hierarchy).join(r.cats.matrix, ["store", "dept", "subdept"])
-    then = fact_plan.week_prices(r.prices, RUN_PERIOD - 2, "_then")
-    now = fact_plan.week_prices(r.prices, RUN_PERIOD, "_now")
-    recent = _latest(look_back(r.prices, RUN_PERIOD, 0, LOOK_BACK), OBSERVATION).withColumnRenamed(
+    then = fact_plan.week_prices(r.prices, r.run_period - 2, "_then")
+    now = fact_plan.week_prices(r.prices, r.run_period, "_now")
+    recent = _latest(look_back(r.prices, r.run_period, 0, r.look_back), OBSERVATION).withColumnRenamed(
         "comp_price", "_recent"
     )
     for prices in (then, now, recent.drop("period")):

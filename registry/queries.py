@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from registry import feeds
-from registry.roles import LOOK_BACK, RUN_PERIOD, Roles
+from registry.roles import Roles
 from shelfwise import schemas
 from shelfwise.functions import prices as px
 from shelfwise.functions import weeks as wk
@@ -91,7 +91,7 @@ def inventory_read(r: Roles) -> DataFrame:
 
 @query
 def competitor_prices_multiweek(r: Roles) -> DataFrame:
-    return comp_plan.look_back(r.prices, RUN_PERIOD, 0, 52)
+    return comp_plan.look_back(r.prices, r.run_period, 0, 52)
 
 
 @query
@@ -302,9 +302,9 @@ def _hierarchy(r: Roles) -> DataFrame:
 def priority_pick(r: Roles) -> DataFrame:
     """Best competitor store of every article and store, with its latest price moved to an ending."""
     lines = fact_plan.sales_lines(r.total_sales, _hierarchy(r))
-    then = fact_plan.week_prices(r.prices, wk.week_before(RUN_PERIOD, 2), "comp_price")
-    now = fact_plan.week_prices(r.prices, RUN_PERIOD, "comp_price_now")
-    recent = matching.latest_price_per_store(comp_plan.look_back(r.prices, RUN_PERIOD, 0, LOOK_BACK))
+    then = fact_plan.week_prices(r.prices, wk.week_before(r.run_period, 2), "comp_price")
+    now = fact_plan.week_prices(r.prices, r.run_period, "comp_price_now")
+    recent = matching.latest_price_per_store(comp_plan.look_back(r.prices, r.run_period, 0, r.look_back))
     picked = matching.priority_pick(lines, r.cats.matrix, then, now, recent).join(
         recent, matching.OBSERVATION, "left"
     )
@@ -326,7 +326,7 @@ def priority_pick(r: Roles) -> DataFrame:
 
 @query
 def asof_inventory(r: Roles) -> DataFrame:
-    rows = matching.asof_inventory(r.inventory, wk.midweek_date(RUN_PERIOD))
+    rows = matching.asof_inventory(r.inventory, wk.midweek_date(r.run_period))
     return rows.withColumn("stock_date", F.col("stock_date").cast("string"))
 
 
@@ -340,8 +340,8 @@ def store_membership(r: Roles) -> DataFrame:
 
 @query
 def join_retention_funnel(r: Roles) -> DataFrame:
-    then = fact_plan.week_prices(r.prices, wk.week_before(RUN_PERIOD, 2), "comp_price")
-    now = fact_plan.week_prices(r.prices, RUN_PERIOD, "comp_price")
+    then = fact_plan.week_prices(r.prices, wk.week_before(r.run_period, 2), "comp_price")
+    now = fact_plan.week_prices(r.prices, r.run_period, "comp_price")
     return matching.join_retention(r.sales_with_hierarchy, r.cats.matrix, now, then)
 
 
@@ -453,13 +453,13 @@ def sales_price_stats_by_format(r: Roles) -> DataFrame:
 
 @query
 def sales_sum_weeks(r: Roles) -> DataFrame:
-    sums = rollups.sales_sum_weeks(r.sales, r.cats.skus, RUN_PERIOD, LOOK_BACK)
+    sums = rollups.sales_sum_weeks(r.sales, r.cats.skus, r.run_period, r.look_back)
     return rounded(sums, "total_amount")
 
 
 @query
 def competitor_upcs(r: Roles) -> DataFrame:
-    return comp_plan.competitor_upcs(r.prices, RUN_PERIOD, LOOK_BACK)
+    return comp_plan.competitor_upcs(r.prices, r.run_period, r.look_back)
 
 
 @query
@@ -568,7 +568,7 @@ def store_period_coverage(r: Roles) -> DataFrame:
 
 
 def _totals(r: Roles) -> DataFrame:
-    return rollups.sales_sum_weeks(r.sales, r.cats.skus, RUN_PERIOD, LOOK_BACK).filter(
+    return rollups.sales_sum_weeks(r.sales, r.cats.skus, r.run_period, r.look_back).filter(
         F.col("total_amount") > 0
     )
 
@@ -806,7 +806,7 @@ def weekly_chain(r: Roles) -> DataFrame:
     out = _folder(r, "run")
     run_week(
         r.spark,
-        period=RUN_PERIOD,
+        period=r.run_period,
         sales=r.total_sales,
         impact_sales=r.total_sales,
         prices=r.prices,
@@ -814,15 +814,15 @@ def weekly_chain(r: Roles) -> DataFrame:
         snapshot=r.snapshot,
         cats=r.lazy_cats,
         out=out,
-        look_back=(0, LOOK_BACK),
+        look_back=(0, r.look_back),
         fact_options={"rebase": False},
     )
-    return tables.load_table(r.spark, f"{out}/impact_{RUN_PERIOD}")
+    return tables.load_table(r.spark, f"{out}/impact_{r.run_period}")
 
 
 @query
 def central_price_asof(r: Roles) -> DataFrame:
-    return matching.central_price_asof(r.inventory, wk.midweek_date(RUN_PERIOD))
+    return matching.central_price_asof(r.inventory, wk.midweek_date(r.run_period))
 
 
 @query

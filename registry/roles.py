@@ -7,6 +7,7 @@ whatever the order of the sum.
 from __future__ import annotations
 
 from dataclasses import fields
+from datetime import timedelta
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,9 +25,6 @@ from shelfwise.plans.suggested_prices import suggested_prices
 from shelfwise.plans.weekly_runs import competitor_stats_by_week, weekly_runs
 from shelfwise.session import stage, tune
 
-# last week on record; the look-back reaches before the first, so runs use all weeks
-RUN_PERIOD = 200144
-LOOK_BACK = 400
 STORES = 20
 
 _STAGED: dict[tuple, DataFrame] = {}
@@ -86,6 +84,24 @@ class Roles:
             "l_discount",
         )
 
+    @cached_property
+    def _span(self) -> tuple[int, int]:
+        """The last week on record and how many weeks back the first one lies, read once."""
+        week = week_of(F.col("l_shipdate").cast("date"))
+        first, last = self.table("lineitem").agg(F.min(week), F.max(week)).first()
+        monday = lambda w: midweek_date(w) - timedelta(days=4)
+        return last, (monday(last) - monday(first)).days // 7
+
+    @property
+    def run_period(self) -> int:
+        """The week of the run: the last on record."""
+        return self._span[0]
+
+    @property
+    def look_back(self) -> int:
+        """Weeks that reach before the first on record, so that runs use all of them."""
+        return self._span[1] + 1
+
     # Facts, as the weekly files would hold them
 
     @cached_property
@@ -277,7 +293,7 @@ class Roles:
     def total_sales(self) -> DataFrame:
         """Sales of all weeks together, as the sales of the run."""
         return self.staged(
-            "total_sales", lambda: self._sales_by("sku", "store").withColumn("period", F.lit(RUN_PERIOD))
+            "total_sales", lambda: self._sales_by("sku", "store").withColumn("period", F.lit(self.run_period))
         )
 
     @cached_property
@@ -287,7 +303,7 @@ class Roles:
     @cached_property
     def snapshot(self) -> DataFrame:
         """The stock on the Friday of the run: one row per article and store, all dated that day."""
-        day = midweek_date(RUN_PERIOD)
+        day = midweek_date(self.run_period)
         return self.staged("snapshot", lambda: asof_inventory(self.inventory, day).withColumn("stock_date", F.lit(day)))
 
     @cached_property
@@ -295,8 +311,8 @@ class Roles:
         return _StagedCatalogues(self)
 
     def fresh_stats(self) -> CompetitorStats:
-        base = stage(look_back_prices(self.prices, self.cats.matrix, RUN_PERIOD, 0, LOOK_BACK), "base_prices")
-        return competitor_stats(base, RUN_PERIOD)
+        base = stage(look_back_prices(self.prices, self.cats.matrix, self.run_period, 0, self.look_back), "base_prices")
+        return competitor_stats(base, self.run_period)
 
     @cached_property
     def stats(self) -> CompetitorStats:
@@ -311,9 +327,9 @@ class Roles:
             self.inventory,
             self.stats,
             self.cats,
-            RUN_PERIOD,
+            self.run_period,
             rebase=False,
-            asof=midweek_date(RUN_PERIOD),
+            asof=midweek_date(self.run_period),
             **options,
         )
 

@@ -245,10 +245,13 @@ def _ranked_deciles(
     rows: DataFrame, keys: Sequence[str], first: int, measures: Sequence[str], shares: Sequence[float]
 ) -> DataFrame:
     """``rows`` with the deciles of the levels from depth ``first`` down, by ranks."""
+    columns = rows.columns
     for depth in range(first, len(keys)):
         own = Window.partitionBy(*keys[: depth + 1])
         for m in measures:
             so_far = own.orderBy(m).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-            reached = sum((F.count(m).over(so_far) >= _rank(F.count(m).over(own), s)).cast("int") for s in shares)
-            rows = rows.withColumn(f"{m}_decile_{keys[depth]}", 10 - reached)
+            rows = rows.withColumns({f"_{m}_so_far": F.count(m).over(so_far), f"_{m}_all": F.count(m).over(own)})
+            reached = sum((F.col(f"_{m}_so_far") >= _rank(F.col(f"_{m}_all"), s)).cast("int") for s in shares)
+            columns = [*columns, f"{m}_decile_{keys[depth]}"]
+            rows = rows.withColumn(columns[-1], 10 - reached).select(*columns)
     return rows

@@ -24,7 +24,8 @@ from shelfwise.operators.matching import (
     inventory_universe,
     priority_pick,
 )
-from shelfwise.operators.pricestats import FORMAT_PERCENTILES, price_stats
+from shelfwise.operators.pricestats import FORMAT_PERCENTILES
+from shelfwise.operators.ranking import quantile_cuts
 from shelfwise.plans.competitor_stats import CompetitorStats
 from shelfwise.session import stage
 
@@ -79,15 +80,16 @@ def sales_lines(sales: DataFrame, skus: DataFrame, inventory: DataFrame | None =
 
 
 def sales_price_stats_by_format(lines: DataFrame, stores: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Average prices lie on no grid, so they are not counted by value; their cuts are exact all the same."""
     sold = lines.filter(F.col("avg_price") != 0).join(stores.select("store", "format"), "store", "inner")
-    return price_stats(
-        sold,
-        [*by, "sku", "upc", "format"],
-        "avg_price",
-        "format_price",
-        ("avg", "std", "median", "min", "max"),
-        FORMAT_PERCENTILES,
-    )
+    shares = {"median": 0.5, **FORMAT_PERCENTILES}
+    plain = {"avg": F.avg, "std": F.stddev, "min": F.min, "max": F.max}
+    key = [*by, "sku", "upc", "format"]
+    extra = [f("avg_price").alias(f"format_price_{name}") for name, f in plain.items()]
+    out = quantile_cuts(sold, key, ["avg_price"], list(shares.values()), extra)
+    cuts = {f"format_price_{name}": F.col("avg_price_cuts")[i] for i, name in enumerate(shares)}
+    names = ("avg", "std", "median", "min", "max", *FORMAT_PERCENTILES)
+    return out.withColumns(cuts).select(*key, *(f"format_price_{name}" for name in names))
 
 
 def week_prices(prices: DataFrame, period: int, name: str) -> DataFrame:
