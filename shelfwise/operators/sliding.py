@@ -22,9 +22,12 @@ def run_periods(sales: DataFrame, exclude: Sequence[int] = ()) -> DataFrame:
 
 
 def look_back_windows(runs: DataFrame, first: int = 0, last: int = 6) -> DataFrame:
-    """(period, back, seen_period): each run with the weeks ``first`` to ``last`` before it."""
+    """(period, ..., back, seen_period): each run with the weeks ``first`` to ``last`` before it.
+
+    ``runs`` may name more keys, such as the articles that a run needs; only their rows are looked at then.
+    """
     near, far = sorted((first, last))
-    return runs.select("period", F.explode(F.sequence(F.lit(near), F.lit(far))).alias("back")).withColumn(
+    return runs.withColumn("back", F.explode(F.sequence(F.lit(near), F.lit(far)))).withColumn(
         "seen_period", shift_week(F.col("period"), F.col("back"))
     )
 
@@ -34,7 +37,8 @@ def in_windows(weekly: DataFrame, windows: DataFrame) -> DataFrame:
 
     ``period`` is the run then, ``seen_period`` the week of the row, ``back`` the weeks between.
     """
-    return weekly.withColumnRenamed("period", "seen_period").join(windows, "seen_period", "inner")
+    keys = [c for c in windows.columns if c not in ("period", "back")]
+    return weekly.withColumnRenamed("period", "seen_period").join(windows, keys, "inner")
 
 
 def weeks_back(weekly: DataFrame, windows: DataFrame, back: int) -> DataFrame:

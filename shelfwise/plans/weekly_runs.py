@@ -7,6 +7,7 @@ over weeks, and prices and stocks are read once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ RECENT_MEASURES = ("avg", "median", "mode", "mode_freq")
 def competitor_stats_by_week(
     prices: DataFrame, matrix: DataFrame, runs: DataFrame, first: int = 0, last: int = 6
 ) -> CompetitorStats:
-    """``competitor_stats`` of every run in ``runs`` (period), from one scan of the prices."""
+    """``competitor_stats`` of every run in ``runs`` (period, maybe upc), from one scan of the prices."""
     windows = stage(look_back_windows(runs, first, last), "windows")
     counts = stage(weekly_price_counts(matrix_prices(prices, matrix), OBSERVATION, "comp_price"), "weekly_counts")
     weekly = stage(
@@ -92,10 +93,13 @@ def weekly_runs(
     stats: CompetitorStats | None = None,
 ) -> DataFrame:
     """The fact table of every week of ``sales`` but those excluded."""
-    runs = stage(run_periods(sales, exclude), "runs")
-    stats = stats or competitor_stats_by_week(prices, cats.matrix, runs, *look_back)
-    lines = staged_lines(sales.join(runs, "period", "left_semi"), cats)
-    windows = stage(look_back_windows(runs, 0, GAP), "windows")
+    lines = staged_lines(sales.join(run_periods(sales, exclude), "period", "left_semi"), cats)
+    # a run only looks back at the articles it has lines of
+    demand = stage(lines.select("period", "upc").distinct(), "demand")
+    if stats is None:
+        made = competitor_stats_by_week(prices, cats.matrix, demand, *look_back)
+        stats = replace(made, recent_store=stage(made.recent_store, "recent_store"))
+    windows = stage(look_back_windows(demand, 0, GAP).filter(F.col("back").isin(0, GAP)), "windows")
     known = prices.filter(F.col("comp_price").isNotNull()).select("period", *OBSERVATION, "comp_price")
     return fact_rows(
         lines,
