@@ -99,3 +99,27 @@ def test_query_recall(spark):
     sf_dir = "/root/testdata/sf0.01"
     rows = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     assert got(op3_embedding_near_dedup(spark, sf_dir)) == by_all_pairs(rows)
+
+
+def test_recall_of_planted_links_at_the_border(spark, table):
+    """Vectors of the table with a neighbour each just above, and one just below, the similarity sought."""
+    sf_dir = "/root/testdata/sf0.01"
+    held = [(r.vec_id, r.embedding, r.label) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    rng = np.random.default_rng(6)
+    rows = list(held)
+    for i, v, label in held:
+        v = np.array(v, dtype=np.float64)
+        v /= np.linalg.norm(v)
+        for k, cosine in ((1, rng.uniform(0.9301, 0.935)), (2, rng.uniform(0.925, 0.9299))):
+            away = rng.normal(size=len(v))
+            away -= (away @ v) * v
+            other = cosine * v + np.sqrt(1 - cosine**2) * away / np.linalg.norm(away)
+            rows.append((i + k * 1_000_000, np.float32(other * rng.uniform(0.5, 2)).tolist(), label))
+    links = {r.vec_id: r.n_links for r in near_vectors(table(COLUMNS, *((*r, 0) for r in rows)).repartition(5)).collect()}
+    unit = np.array([v for _, v, _ in rows], dtype=np.float64)
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    label = np.array([r[2] for r in rows])
+    want = ((unit @ unit.T >= 0.93) & (label[:, None] == label[None, :])).sum(axis=1) - 1
+    got_links = np.array([links[r[0]] for r in rows])
+    assert want.sum() >= 2 * len(held) and (got_links <= want).all()
+    assert got_links.sum() >= 0.999 * want.sum()

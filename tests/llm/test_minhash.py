@@ -6,9 +6,12 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
-from shelfwise.llm.minhash import drop_near_copies, near_copies, overlaps, shingles, signatures
+from shelfwise.llm.minhash import (
+    MOST_FLIPS, _apart, _prefixes, _units, band_keys, drop_near_copies, near_copies, overlaps, shingles, signatures, sketch_bits,
+)
 from shelfwise.llm.queries import op5_minhash_near_dedup
 from shelfwise.llm.wordhash import chunks
 
@@ -89,6 +92,49 @@ def test_few_registers_are_unbiased_and_independent():
     assert abs(np.mean(agree)) < 0.003 and 0.9 < np.mean(spread) < 1.1
 
 
+def test_recall_at_the_border():
+    """Ten thousand pairs of exactly the similarity sought: nearly all share a band and pass the sketch."""
+    rng = np.random.default_rng(12)
+    pairs, found = 10_000, 0
+    for _ in range(10):
+        n = pairs // 10
+        shared, own = rng.integers(0, 1 << 62, (n, 1, 40)), rng.integers(0, 1 << 62, (n, 2, 5))
+        x = np.concatenate([np.repeat(shared, 2, axis=1), own], axis=2).astype(np.uint64)
+        owner = np.repeat(np.arange(2 * n), 45)
+        values = signatures(owner, x.reshape(-1), np.ones(x.size, dtype=np.int64), 2 * n)
+        keys, bits = band_keys(values), sketch_bits(values)
+        flips = np.bitwise_count(bits[0::2] ^ bits[1::2]).sum(axis=1)
+        found += ((keys[0::2] == keys[1::2]).any(axis=1) & (flips <= MOST_FLIPS)).sum()
+    assert found >= 0.999 * pairs
+
+
+def test_texts_across_classes_meet_by_a_rare_shingle(spark, table):
+    """A bucket of near copies, mostly just unlinked: the candidates hold every link and few other pairs."""
+    rng = random.Random(9)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for i in range(300):
+        words = list(base)
+        for place in rng.sample(range(150), rng.choice([0, 1, 2, 3, 4, 6])):
+            words[place] = f"x{i}_{place}"
+        texts.append(" ".join(words))
+    nodes = spark.createDataFrame(list(enumerate(texts)), "node long, text string").repartition(4)
+    prefixes = _prefixes(_units(nodes)).withColumn("class", F.col("node"))
+    pairs = {(r.a, r.b) for r in _apart(prefixes).collect()}
+    bags = [bag(t) for t in texts]
+    linked = set()
+    for b in range(300):
+        for a in range(b):
+            less, more = similarity(bags[a], bags[b])
+            if less * 5 >= more * 4:
+                linked.add((a, b))
+    assert linked and linked <= pairs and len(pairs) < 300 * 299 / 2
+    lone = [i for i in range(300) if not any(i in p for p in linked)]
+    assert lone and len(pairs) <= 3 * len(linked)
+    # texts of one class are never paired
+    assert _apart(_prefixes(_units(nodes)).withColumn("class", F.lit(1).cast("long"))).isEmpty()
+
+
 def test_overlaps():
     a = ["a b c d e f g", "", "x", "a a a a a a a a"]
     b = ["b c d e f g h", "z", "x", "a a a a a a"]

@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shelfwise.llm.quality import LEAST_DOCUMENTS, features_of, fit, good_documents, graded, graded_documents, score, train
+from shelfwise.llm.quality import LEAST_DOCUMENTS, SHRINK, features_of, fit, good_documents, graded, graded_documents, score, train
 from shelfwise.llm.wordhash import SPACE, chunks, word_hashes
 
 SF_DIR = "/root/testdata/sf0.1"
@@ -83,3 +83,40 @@ def test_empty_tables(spark, table, labelled):
     out = graded_documents(docs, labels.limit(0)).collect()
     assert len(out) == 203 and all(r.kept and r.tail_probability == 1 for r in out)
     assert LEAST_DOCUMENTS > 1
+
+
+def test_fit_against_an_independent_optimiser():
+    """Thresholds and probabilities of a small problem against a plain descent with numerical slopes."""
+    rng = np.random.default_rng(11)
+    x = rng.random((900, 3)) < [0.5, 0.4, 0.3]
+    latent = x @ np.array([2.0, -2.5, 2.0]) + rng.logistic(size=900)
+    grades = np.digitize(latent, [-0.5, 1.0])
+    model = fit([np.flatnonzero(row).astype(np.uint32) for row in x], grades)
+    assert model.features.tolist() == [0, 1, 2]
+
+    def probabilities(p):
+        cuts = np.array([p[3], p[3] + np.exp(p[4])])
+        below = 1 / (1 + np.exp(-(cuts[None, :] - (x @ p[:3])[:, None])))
+        return np.hstack([below, np.ones((len(x), 1))]) - np.hstack([np.zeros((len(x), 1)), below])
+
+    def loss(p):
+        return -np.log(probabilities(p)[np.arange(len(x)), grades]).mean() + SHRINK / 2 * (p[:3] ** 2).sum()
+
+    def slope(f, p, h=1e-5):
+        return np.array([(f(p + h * e) - f(p - h * e)) / (2 * h) for e in np.eye(len(p))])
+
+    p = np.zeros(5)
+    for _ in range(60):  # Newton steps from numerical second derivatives
+        down = slope(loss, p)
+        curve = np.array([slope(lambda q: slope(loss, q)[i], p, 1e-3) for i in range(5)])
+        move = np.linalg.solve(curve + 1e-6 * np.eye(5), down)
+        size = 1.0
+        while loss(p - size * move) > loss(p) and size > 1e-6:
+            size /= 2
+        p = p - size * move
+    assert np.abs(slope(loss, p)).max() < 1e-6
+    assert np.allclose(model.weights, p[:3], atol=0.02)
+    assert np.allclose(model.thresholds, [p[3], p[3] + np.exp(p[4])], atol=0.02)
+    first = np.concatenate([[0], np.cumsum(x.sum(axis=1))])
+    below = model.at_most(model.scores(np.nonzero(x)[1].astype(np.uint32), first))
+    assert np.abs(below[:, 0] - probabilities(p)[:, 0]).max() < 0.01
