@@ -13,6 +13,8 @@ from shelfwise.operators.picks import latest_rows
 from shelfwise.operators.pricestats import STORE_HISTORY_PERCENTILES, price_stats, two_period_stats
 
 NATIONAL_MEASURES = ("avg", "std", "median", "mode", "mode_freq")
+RECENT_MEASURES = ("avg", "median", "mode", "mode_freq")
+STORE_HISTORY_MEASURES = ("avg", "std", "min", "max", "median")
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,7 @@ def store_price_history(prices: DataFrame) -> DataFrame:
         OBSERVATION,
         "comp_price",
         "hist",
-        ("avg", "std", "min", "max", "median"),
+        STORE_HISTORY_MEASURES,
         STORE_HISTORY_PERCENTILES,
     )
 
@@ -47,7 +49,7 @@ def recent_national_stats(prices: DataFrame) -> DataFrame:
     known = prices.filter(F.col("comp_price").isNotNull())
     latest = latest_rows(known, ["upc"], "period")
     return price_stats(
-        latest, ["upc", "period"], "comp_price", "recent_market", ("avg", "median", "mode", "mode_freq")
+        latest, ["upc", "period"], "comp_price", "recent_market", RECENT_MEASURES
     ).withColumnRenamed("period", "recent_market_period")
 
 

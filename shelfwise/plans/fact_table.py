@@ -24,29 +24,28 @@ from shelfwise.operators.matching import (
     inventory_universe,
     priority_pick,
 )
-from shelfwise.operators.pricestats import FORMAT_PERCENTILES
+from shelfwise.operators.pricestats import FORMAT_PERCENTILES, STORE_HISTORY_PERCENTILES
 from shelfwise.operators.ranking import quantile_cuts
-from shelfwise.plans.competitor_stats import CompetitorStats
+from shelfwise.plans.competitor_stats import (
+    NATIONAL_MEASURES,
+    RECENT_MEASURES,
+    STORE_HISTORY_MEASURES,
+    CompetitorStats,
+)
 from shelfwise.session import stage
 
 DEFAULT_TARGET_MARGIN = 0.17
 HIERARCHY = ["dept", "subdept", "class_id", "subclass_id"]
 
-FACT_COLUMNS = """
-    sku upc store period stock_units stock_value stock_cost units cost amount amount_gross
-    central_sales central_sales_gross comp_sales comp_sales_now
-    margin_gross central_margin_gross comp_margin comp_margin_now
-    avg_price avg_price_gross central_price central_price_gross
-    comp_store comp_chain comp_source_original comp_source priority
-    comp_price comp_price_now comp_price_recent recent_period
-    hist_avg hist_std hist_min hist_max hist_median hist_p10 hist_p20 hist_p80 hist_p90
-    market_avg market_std market_median market_mode
-    market_now_avg market_now_std market_now_median market_now_mode
-    recent_market_period recent_market_avg recent_market_median recent_market_mode
-    clearance comp_clearance comp_clearance_now promo comp_promo comp_promo_now comp_promo_recent
-    cup cupc simulated_check_impact real_check_impact cuic cut
-    comp_now_minus_sales comp_minus_hist_median target_margin
-""".split()
+# what the joins bring to a row of the fact table; the metrics made of it come after
+LINE = ["period", "store", "sku", "upc", "units", "amount", "cost", "avg_price"]
+CHOICE = ["priority", "comp_store", "comp_source", "comp_chain"]
+SEEN_PRICES = ["comp_price", "comp_price_now", "comp_price_recent", "recent_period"]
+HISTORY = [f"hist_{m}" for m in (*STORE_HISTORY_MEASURES, *STORE_HISTORY_PERCENTILES)]
+MARKET = [f"{prefix}_{m}" for prefix in ("market", "market_now") for m in NATIONAL_MEASURES if m != "mode_freq"]
+RECENT_MARKET = ["recent_market_period", *(f"recent_market_{m}" for m in RECENT_MEASURES if m != "mode_freq")]
+CENTRAL = ["central_price", "stock_units", "stock_value", "stock_cost"]
+TERMS = ["target_margin", "store_decile", "national_decile"]
 
 
 def sku_terms(cats: Catalogues) -> DataFrame:
@@ -235,7 +234,9 @@ def fact_rows(
         .join(picked, [*by, "store", "upc", "dept", "subdept"], "inner")
         .join(sku_terms(cats).drop("upc", *HIERARCHY), "sku", "inner")
     )
-    fact = fact_metrics(rows, fill_with_mode).select(*FACT_COLUMNS, "store_decile", "national_decile")
+    known = fact_metrics(rows, fill_with_mode)
+    metrics = [c for c in known.columns if c not in rows.columns]
+    fact = known.select(*LINE, *CHOICE, *SEEN_PRICES, *HISTORY, *MARKET, *RECENT_MARKET, *CENTRAL, *metrics, *TERMS)
     by_format = sales_price_stats_by_format(lines, cats.stores, by)
     return (
         fact.join(cats.stores, "store", "inner")

@@ -23,12 +23,12 @@ from shelfwise.operators.matching import base_priority
 
 NO_SPOT_PRIORITY = 10
 
-PRICE_COLUMNS = """
-    sku upc price_group store suggested_price suggested_source priority
-    spot_price comp_store comp_chain comp_source
-    store_median national_median national_mode group_price group_median group_mode
-    group_sku group_priority group_comp_store group_comp_chain group_comp_source
-""".split()
+# what a price came from: the competitor's row, and the row of its group
+ORIGIN = ["sku", "priority", "comp_store", "comp_chain", "comp_source"]
+REFERENCES = ["spot_price", "store_median", "national_median", "national_mode", "group_price", "group_median", "group_mode"]
+PRICE_COLUMNS = [
+    "store", "price_group", "upc", *ORIGIN, "suggested_price", "suggested_source", *REFERENCES, *(f"group_{c}" for c in ORIGIN)
+]
 
 
 @dataclass(frozen=True)

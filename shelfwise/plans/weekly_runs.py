@@ -26,12 +26,16 @@ from shelfwise.operators.sliding import (
     weekly_price_counts,
     weeks_back,
 )
-from shelfwise.plans.competitor_stats import NATIONAL_MEASURES, CompetitorStats
+from shelfwise.plans.competitor_stats import (
+    NATIONAL_MEASURES,
+    RECENT_MEASURES,
+    STORE_HISTORY_MEASURES,
+    CompetitorStats,
+)
 from shelfwise.plans.fact_table import fact_rows, staged_lines
 from shelfwise.session import stage
 
 GAP = 2
-RECENT_MEASURES = ("avg", "median", "mode", "mode_freq")
 
 
 def competitor_stats_by_week(
@@ -61,7 +65,7 @@ def competitor_stats_by_week(
             merged_counts(in_windows(counts, windows), ["period", *OBSERVATION]),
             ["period", *OBSERVATION],
             "hist",
-            ("avg", "std", "min", "max", "median"),
+            STORE_HISTORY_MEASURES,
             STORE_HISTORY_PERCENTILES,
         ),
         recent_national=latest_in_windows(recent, windows, ["upc"], "recent_market_period"),
