@@ -96,7 +96,7 @@ def rest_keys(points: np.ndarray, first: np.ndarray, length: int, edits: int = E
 def parities(points: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """64 bits per line, the parity of the counts of adjacent characters that hash to each: an edit flips four at most."""
     follows = np.append(points[1:], np.uint64(0))
-    bits = np.uint64(1) << (mix(points ^ mix(follows, 91), 90) >> np.uint64(58))
+    bits = np.uint64(1) << (mix(points * np.uint64(0x9E3779B97F4A7C15) + follows, 90) >> np.uint64(58))
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.bitwise_xor.accumulate(bits)])
     return total[first + np.maximum(length - 1, 0)] ^ total[first]
 
