@@ -306,7 +306,7 @@ def fall_back(mode: bool) -> tuple[str, str]:
     return price, source
 
 
-def impact(prices: str, how: str, mode: bool) -> str:
+def impact(prices: str, how: str, mode: bool, stock: str = "snapshot") -> str:
     price, source = fall_back(mode)
     c_gross = ending(f"({ending('stock_value/stock_units')} + {ending('stock_value/stock_units')}*(iva+ieps)/1000.0)")
     a = "(CASE WHEN units <= 0 OR amount <= 0 THEN NULL ELSE amount/units END)"
@@ -315,7 +315,7 @@ def impact(prices: str, how: str, mode: bool) -> str:
     WITH p_in AS MATERIALIZED (SELECT * FROM {prices}), {filled('p_in')},
     stock AS (
         SELECT sku, store, stock_units, stock_value, {c_gross} AS central_price_gross
-        FROM snapshot LEFT JOIN taxes USING (sku)
+        FROM {stock} LEFT JOIN taxes USING (sku)
         WHERE (store < 300 OR store > 499) AND store <> 686 AND store <> 687),
     sold AS (
         SELECT sku, store, {ending(gross(a))} AS avg_price_gross
@@ -346,7 +346,7 @@ def impact(prices: str, how: str, mode: bool) -> str:
         ge.group_exception_sku, ge.group_exception, e.exception, k.* EXCLUDE (sku, upc), nd.national_decile,
         st.* EXCLUDE (store)
     FROM priced
-    LEFT JOIN ({stock_exceptions()}) ge ON ge.price_group=priced.price_group
+    LEFT JOIN ({stock_exceptions(stock)}) ge ON ge.price_group=priced.price_group
     LEFT JOIN exceptions e ON e.sku=priced.sku
     LEFT JOIN skus k ON k.sku=priced.sku
     LEFT JOIN national_deciles nd ON nd.sku=priced.sku
@@ -354,10 +354,10 @@ def impact(prices: str, how: str, mode: bool) -> str:
     WHERE e.exception IS NULL AND ge.group_exception IS NULL AND k.status <> 'P' AND k.status <> 'AT'"""
 
 
-def stock_exceptions() -> str:
-    return """SELECT price_group, min(sku) AS group_exception_sku, arg_min(exception, sku) AS group_exception
+def stock_exceptions(stock: str = "snapshot") -> str:
+    return f"""SELECT price_group, min(sku) AS group_exception_sku, arg_min(exception, sku) AS group_exception
         FROM exceptions JOIN price_groups USING (sku)
-        WHERE exception IS NOT NULL AND sku IN (SELECT sku FROM snapshot) GROUP BY price_group"""
+        WHERE exception IS NOT NULL AND sku IN (SELECT sku FROM {stock}) GROUP BY price_group"""
 
 
 # Named views, put in front of a query when it uses them.
@@ -377,6 +377,8 @@ VIEWS: dict[str, str] = {
     "snapshot": f"""SELECT sku, store, {MIDWEEK} AS stock_date, stock_units, stock_value, stock_cost FROM inventory
         WHERE (sku, store, stock_date) IN (SELECT (sku, store, max(stock_date)) FROM inventory
         WHERE stock_date <= {MIDWEEK} GROUP BY sku, store)""",
+    "newest_stock": """SELECT * EXCLUDE (k) FROM (SELECT *, row_number() OVER (
+        PARTITION BY sku, store ORDER BY stock_date DESC NULLS LAST) AS k FROM inventory) WHERE k=1""",
     "stores": """SELECT store, store_name, format, region, zone, store_type FROM (
         SELECT (s_suppkey%20)::INT AS store, s_name AS store_name, r_name AS format, n_name AS region,
             'Z'||CAST(s_nationkey%4 AS VARCHAR) AS zone,
@@ -459,6 +461,7 @@ VIEWS: dict[str, str] = {
     "suggested": suggested("fact"),
     "suggested_with_modes": suggested("fact", mode=True),
     "impact": impact("suggested", "LEFT", False),
+    "impact_newest": impact("suggested", "LEFT", False, "newest_stock"),
     "impact_full": impact("suggested_with_modes", "FULL", True),
     "group_input": group_rows(single("fact")),
     "sales_h": "SELECT s.*, k.upc, k.dept, k.subdept, k.class_id, k.subclass_id FROM sales s JOIN skus k USING (sku)",
@@ -756,7 +759,7 @@ SQL: dict[str, str] = {
     "suggested_prices_clearance_endings": suggested("fact", endings=True),
     "suggested_prices_all_priorities": suggested("fact", top=False),
     "suggested_prices_keep_low": suggested("fact", drop_low=False),
-    "price_impact": "SELECT * FROM impact",
+    "price_impact": "SELECT * FROM impact_newest",
     "weekly_chain": "SELECT * FROM impact",
     "price_impact_full": "SELECT * FROM impact_full",
     "central_price_asof": "SELECT * FROM central_asof",
