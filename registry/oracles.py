@@ -462,6 +462,7 @@ VIEWS: dict[str, str] = {
     "suggested_with_modes": suggested("fact", mode=True),
     "impact": impact("suggested", "LEFT", False),
     "impact_newest": impact("suggested", "LEFT", False, "newest_stock"),
+    "impact_newest_full": impact("suggested_with_modes", "FULL", True, "newest_stock"),
     "impact_full": impact("suggested_with_modes", "FULL", True),
     "group_input": group_rows(single("fact")),
     "sales_h": "SELECT s.*, k.upc, k.dept, k.subdept, k.class_id, k.subclass_id FROM sales s JOIN skus k USING (sku)",
@@ -761,7 +762,7 @@ SQL: dict[str, str] = {
     "suggested_prices_keep_low": suggested("fact", drop_low=False),
     "price_impact": "SELECT * FROM impact_newest",
     "weekly_chain": "SELECT * FROM impact",
-    "price_impact_full": "SELECT * FROM impact_full",
+    "price_impact_full": "SELECT * FROM impact_newest_full",
     "central_price_asof": "SELECT * FROM central_asof",
     "central_price_snapshot": """SELECT sku, store,
         CASE WHEN stock_units=0 THEN NULL ELSE stock_value/stock_units END AS central_price,
