@@ -665,7 +665,7 @@ SQL: dict[str, str] = {
     "coverage_by_subdept": coverage("impact_full"),
     "coverage_by_subdept_both": f"SELECT * FROM ({coverage('impact')}) WHERE priced > 0 AND unpriced > 0",
     "regulated_counts": """SELECT store, dept, subdept, count(suggested_price) AS regulated, count(*) AS articles
-        FROM impact_full GROUP BY store, dept, subdept""",
+        FROM impact_newest_full GROUP BY store, dept, subdept""",
     "impact_by_sku": f"""SELECT a.*, k.* EXCLUDE (sku, upc), national_decile FROM (
         SELECT sku, upc, {', '.join(f"{cut(f'sum({c})', 2)} AS {c}" for c in _IMPACTS.split())}
         FROM impact_full GROUP BY sku, upc) a LEFT JOIN skus k ON k.sku=a.sku
