@@ -672,7 +672,7 @@ SQL: dict[str, str] = {
         LEFT JOIN national_deciles nd ON nd.sku=a.sku""",
     "impact_by_store": f"""SELECT * FROM (
         SELECT store, {', '.join(f"{cut(f'sum({c})', 2)} AS {c}" for c in _IMPACTS.split())}
-        FROM impact_full GROUP BY store) LEFT JOIN stores USING (store)""",
+        FROM impact_newest_full GROUP BY store) LEFT JOIN stores USING (store)""",
     "suggestion_counts": """SELECT store, CASE WHEN suggested_source='PrecioPuntual' THEN coalesce(priority, 0)
         ELSE 0 END AS priority, suggested_source, count(*) AS n FROM impact_full GROUP BY ALL""",
     "null_suggestion_skus": f"""SELECT a.sku, all_null, g.price_group, group_exception_sku, group_exception,
