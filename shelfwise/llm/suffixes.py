@@ -7,9 +7,14 @@ gives the plain hash at every position, so the cover decides nothing. Spark
 groups equal names: of equal suffixes the one in the smallest document stays, in a document the
 first.
 
-Two things keep the rest small. Of documents with equal texts only the first is looked into.
-And from all positions the least of every stretch, by the hash of ``GRAM`` bytes, are anchors:
-equal strings have equal anchors, so suffixes around anchors that occur once need no name.
+Few suffixes need a name of their own. From all positions the least of every stretch, by the hash
+of ``GRAM`` bytes, are anchors, and each suffix is owned by the first least one it holds: equal
+strings have their owner at the same place. The suffixes of one owner make pieces. Pieces are
+keyed by the bytes that all their suffixes share, so a key that one document alone has needs
+no names; and of pieces with the same content (64 bits besides the key's), all but those of the
+smallest document go as a whole. Only suffixes in the rest, the ends of passages that documents
+share and those that meet by the key alone, are named one by one. Repeats within a text are found
+where the text is.
 
 Texts are their UTF-8 bytes and a missing text is empty. A missing id is larger than all
 others, and documents without one remove nothing from each other, nor do rows that repeat an
@@ -20,20 +25,25 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.substrings import _covered, _keyed
-from shelfwise.llm.wordhash import chunks, mix, range_hashes
+from shelfwise.llm.wordhash import Texts, chunks, mix, range_hashes
 from shelfwise.session import stage, unstage
 
 DEPTH = 100
 GRAM = 32
 # grams in a suffix of DEPTH bytes, one of which is its anchor
 STRETCH = DEPTH - GRAM + 1
+PIECE = 35
+# of the keys, shuffled one after the other
+SLICES = 2
 
 _M = 1 << 64
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -110,82 +120,207 @@ def suffix_names(data: np.ndarray, turn: int) -> np.ndarray:
     return mix(full, 110 + turn)
 
 
-def _parsed(docs: DataFrame) -> DataFrame:
-    """Of each document the number of bytes, the digest and the anchors."""
+def owners(places: np.ndarray, names: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each anchor its text and the suffixes [since, until) whose first least gram it is; each suffix has one owner."""
+    text = np.searchsorted(offsets, places, side="right") - 1
+    since = np.maximum(places - STRETCH + 1, offsets[text])
+    until = np.minimum(places, offsets[text + 1] - DEPTH) + 1
+    for side in (-1, 1):
+        # anchors not yet stopped by one as small before them, or by a smaller one after them
+        open_, k = np.arange(len(places)), 0
+        while len(open_):
+            k += side
+            open_ = open_[(open_ + k >= 0) & (open_ + k < len(places))]
+            open_ = open_[np.abs(places[open_ + k] - places[open_]) < STRETCH]
+            stops = names[open_ + k] <= names[open_] if side < 0 else names[open_ + k] < names[open_]
+            own, other = open_[stops], places[open_[stops] + k]
+            if side < 0:
+                since[own] = np.maximum(since[own], other + 1)
+            else:
+                until[own] = np.minimum(until[own], other - STRETCH + 1)
+            open_ = open_[~stops]
+    return text, since, until
+
+
+class Pieces(NamedTuple):
+    """Runs [since, until) of at most ``PIECE`` suffixes with one owner. ``key`` names the bytes that all suffixes that
+    near to the owner have in common, ``content`` all the bytes of these ones and where in them the owner lies."""
+
+    text: np.ndarray
+    key: np.ndarray
+    content: np.ndarray
+    since: np.ndarray
+    until: np.ndarray
+
+
+def pieces_of(data: np.ndarray, offsets: np.ndarray) -> Pieces:
+    """The pieces of all suffixes of the texts that ``offsets`` cut ``data`` into."""
+    places, names = anchors(data, offsets)
+    text, since, until = owners(places, names, offsets)
+    some = until > since
+    places, text, since, until = places[some], text[some], since[some], until[some]
+    first, last = (places - until + 1) // PIECE, (places - since) // PIECE
+    row, number = _runs(first, last + 1)
+    begin = places[row] - PIECE * number  # of the last suffix a piece of this number can have
+    since = np.maximum(since[row], begin - PIECE + 1)
+    until = np.minimum(until[row], begin + 1)
+    key = mix(range_hashes(_BYTES[0][data], begin, begin + DEPTH - PIECE + 1) ^ mix(number.astype(np.uint64), 120), 121)
+    content = mix(range_hashes(_BYTES[1][data], since, until + DEPTH - 1) ^ mix((begin - since).astype(np.uint64), 122), 123)
+    return Pieces(text[row], key, content, since, until)
+
+
+def _runs(since: np.ndarray, until: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all runs [since, until), one run after the other, and which run each is of."""
+    size = until - since
+    row = np.repeat(np.arange(len(size)), size)
+    return row, np.arange(len(row)) - (np.cumsum(size) - size)[row] + since[row]
+
+
+def _named(data: np.ndarray, since: np.ndarray, until: np.ndarray, turns: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Run, place and names of the suffixes [since, until) of ``data``, whose bytes are put one run after the other for it."""
+    row, places = _runs(since, until)
+    _, bytes_ = _runs(since, until + DEPTH - 1)
+    at = np.arange(len(row)) + row * (DEPTH - 1)
+    return row, places, [suffix_names(data[bytes_], turn)[at] if len(at) else np.zeros(0, dtype=np.uint64) for turn in range(turns)]
+
+
+def repeated(data: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which pieces are the first of their content in their text, and the text and place of suffixes in these that
+    are not the first in their text.
+
+    What the others hold is repeated as a whole.
+    """
+
+    def first(*of: np.ndarray) -> np.ndarray:
+        order = np.lexsort(of[::-1])  # stable, so the first place comes first
+        new = np.ones(len(order), dtype=bool)
+        new[1:] = np.any([c[order][1:] != c[order][:-1] for c in of], axis=0)
+        out = np.zeros(len(order), dtype=bool)
+        out[order[new]] = True
+        return out
+
+    firsts = first(pieces.text, pieces.key, pieces.content)
+    kept = np.flatnonzero(firsts)
+    order = kept[np.lexsort((pieces.key[kept], pieces.text[kept]))]
+    same = (pieces.key[order][1:] == pieces.key[order][:-1]) & (pieces.text[order][1:] == pieces.text[order][:-1])
+    several = np.sort(order[np.append(same, False) | np.append(False, same)]) if len(order) else order
+    row, places, (names,) = _named(data, pieces.since[several], pieces.until[several], 1)
+    order = np.argsort(places, kind="stable")
+    text, places, names = pieces.text[several][row][order], places[order], names[order]
+    again = ~first(text, names)
+    return firsts, text[again], places[again]
+
+
+def _pieces(docs: DataFrame) -> DataFrame:
+    """(key, content, span, doc, part, own) of the pieces of all texts; those that are ``own`` are suffixes that their
+    text has before, and go for that.
+    """
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in chunks(batch.column("text")):
-                n = len(texts.offsets) - 1
-                places, names = anchors(texts.data, texts.offsets)
-                first = np.searchsorted(places, texts.offsets)
-                inside = places - np.repeat(texts.offsets[:-1], np.diff(first))
-                data = texts.data.tobytes()
-                digests = [hashlib.sha256(data[a:b]).hexdigest() for a, b in zip(texts.offsets[:-1], texts.offsets[1:])]
-                part = batch.slice(texts.first, n)
-                lists = lambda c: pa.ListArray.from_arrays(first.astype("i4"), pa.array(c))
+                got = pieces_of(texts.data, texts.offsets)
+                firsts, again_text, again = repeated(texts.data, got)
+                # later pieces of a content as a whole, then single suffixes
+                order = np.argsort(~firsts, kind="stable")
+                text = np.concatenate([got.text[order], again_text])
+                since = np.concatenate([got.since[order], again]) - texts.offsets[text]
+                until = np.concatenate([got.until[order], again + 1]) - texts.offsets[text]
+                own = np.arange(len(text)) >= firsts.sum()
+                named = lambda c: pa.array(np.where(own, 0, np.concatenate([c[order], np.zeros(len(again), dtype=np.uint64)]).view(np.int64)))
+                row = pa.array(texts.first + text)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *(part.column(c) for c in ("doc", "part", "no_id")),
-                        pa.array(np.diff(texts.offsets)),
-                        pa.array(digests),
-                        lists(names.view(np.int64)),
-                        lists(inside.astype("i4")),
+                        named(got.key),
+                        named(got.content),
+                        pa.array(since << 32 | until),
+                        batch.column("doc").take(row),
+                        batch.column("part").take(row),
+                        pa.array(own),
                     ],
-                    names=["doc", "part", "no_id", "n_bytes", "sha256", "names", "places"],
+                    names=["key", "content", "span", "doc", "part", "own"],
                 )
 
-    return docs.mapInArrow(
-        parse, "doc long, part long, no_id boolean, n_bytes long, sha256 string, names array<long>, places array<int>"
+    return docs.select("doc", "part", "text").mapInArrow(
+        parse, "key long, content long, span long, doc long, part long, own boolean"
     )
 
 
-def _zones(parsed: DataFrame, later_copies: DataFrame) -> DataFrame:
-    """(doc, part, places) of the anchors that occur more than once, in first copies."""
-    listed = (
-        parsed.join(later_copies, ["doc", "part", "sha256"], "left_anti")
-        .select("doc", "part", F.explode(F.arrays_zip("names", "places")).alias("a"))
-        .select("doc", "part", F.col("a.names").alias("name"), F.col("a.places").alias("place"))
-    )
-    shared = stage(listed.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name"), "shared_anchors")
-    return listed.join(shared, "name", "inner").groupBy("doc", "part").agg(F.collect_set("place").alias("places"))
+def _shared(pieces: DataFrame) -> list[DataFrame]:
+    """The pieces whose key several documents have; a slice of the keys at a time, so that not all are shuffled at once."""
+    out = []
+    for i in range(SLICES):
+        some = pieces.filter(F.pmod("key", F.lit(SLICES)) == i)
+        keys = stage(
+            some.groupBy("key").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").select("key"),
+            "shared_keys",
+        )
+        out.append(stage(some.join(keys, "key", "left_semi"), "shared_pieces"))
+        unstage(keys)
+    return out
 
 
-def _held(places: np.ndarray, n: int) -> np.ndarray:
-    """Which of the first ``n`` suffixes hold one of the anchors."""
-    return _covered(places - STRETCH + 1, places + 1, n)
+def _zones(pieces: DataFrame) -> DataFrame:
+    """(doc, part, gone, look): spans of suffixes that go, and of those to be named. The same content goes from all
+    documents but the smallest; there its suffixes may still occur in other contents with the key.
+    """
+    shared = _shared(pieces.filter("NOT own").drop("own"))
+    found = shared[0]
+    for more in shared[1:]:
+        found = found.unionByName(more)
+    contents = stage(found.groupBy("key", "content").agg(F.min("doc").alias("least")), "contents")
+    several = contents.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("several"))
+    spans = (
+        found.join(contents.join(several, "key", "inner"), ["key", "content"], "inner")
+        .withColumn("goes", F.col("doc") > F.col("least"))
+        .filter("goes OR several")
+        .select("doc", "part", "span", "goes")
+        .unionByName(pieces.filter("own").select("doc", "part", "span", F.lit(True).alias("goes")))
+    )
+    zones = stage(
+        spans.groupBy("doc", "part").agg(
+            F.collect_set(F.when(F.col("goes"), F.col("span"))).alias("gone"),
+            F.collect_set(F.when(~F.col("goes"), F.col("span"))).alias("look"),
+        ),
+        "byte_zones",
+    )
+    unstage(*shared, contents)
+    return zones
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
-    for texts in chunks(batch.column("text")):
-        for i, (a, b) in enumerate(zip(texts.offsets[:-1], texts.offsets[1:])):
-            yield texts.first + i, texts.data[a:b]
+def _spans(batch: pa.RecordBatch, name: str, texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, since and until of the spans of some texts, as places in their bytes."""
+    lists = batch.column(name).slice(texts.first, len(texts.offsets) - 1)
+    size = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(lists), 0))
+    text = np.repeat(np.arange(len(size)), size)
+    span = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return text, (span >> 32) + texts.offsets[text], (span & 0xFFFFFFFF) + texts.offsets[text]
 
 
 def _suffixes(candidates: DataFrame) -> DataFrame:
-    """(one, two, doc, part) of the distinct suffixes that hold an anchor, by document, named by 64 and 32 bits."""
+    """(one, two, doc, part, span) of the suffixes to be looked at, named by 64 and 32 bits."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, data in _texts(batch):
-                one = suffix_names(data, 0)
-                if not len(one):
-                    continue
-                held = _held(batch.column("places")[i].values.to_numpy(), len(one))
-                one, first = np.unique(one[held], return_index=True)
-                two = (suffix_names(data, 1)[held][first] >> np.uint64(32)).astype("u4")
-                row = pa.array(np.full(len(one), i))
+            for texts in chunks(batch.column("text")):
+                text, since, until = _spans(batch, "look", texts)
+                run, places, (one, two) = _named(texts.data, since, until, 2)
+                text = text[run]
+                at = places - texts.offsets[text]
+                row = pa.array(texts.first + text)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(one.view(np.int64)),
-                        pa.array(two.view(np.int32)),
+                        pa.array((two >> np.uint64(32)).astype("u4").view(np.int32)),
                         batch.column("doc").take(row),
                         batch.column("part").take(row),
+                        pa.array(at << 32 | at + 1),
                     ],
-                    names=["one", "two", "doc", "part"],
+                    names=["one", "two", "doc", "part", "span"],
                 )
 
-    return candidates.select("doc", "part", "text", "places").mapInArrow(name, "one long, two int, doc long, part long")
+    looked = candidates.filter(F.size("look") > 0).select("doc", "part", "text", "look")
+    return looked.mapInArrow(name, "one long, two int, doc long, part long, span long")
 
 
 def _cut(candidates: DataFrame) -> DataFrame:
@@ -193,37 +328,26 @@ def _cut(candidates: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for i, data in _texts(batch):
-                gone = np.zeros(len(data), dtype=bool)
-                one = suffix_names(data, 0)
-                if len(one):
-                    held = np.flatnonzero(_held(batch.column("places")[i].values.to_numpy(), len(one)))
-                    _, first, group = np.unique(one[held], return_index=True, return_inverse=True)
-                    repeated = first[group] < np.arange(len(held))
-                    earlier = batch.column("gone")[i]
-                    if earlier.is_valid:
-                        repeated |= np.isin(one[held], earlier.values.to_numpy().view(np.uint64))
-                    gone = _covered(held[repeated], held[repeated] + DEPTH, len(data))
-                edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
-                rows.append(
-                    (
-                        hashlib.sha256(data.tobytes()).hexdigest(),
-                        int(gone.sum()),
-                        hashlib.sha256(data[~gone].tobytes()).hexdigest(),
-                        edges[0::2].tolist(),
-                        edges[1::2].tolist(),
-                    )
+            for texts in chunks(batch.column("text")):
+                found = [_spans(batch, name, texts) for name in ("gone", "later")]
+                since, until = (np.concatenate([f[k] for f in found]) for k in (1, 2))
+                gone = _covered(since, until + DEPTH - 1, len(texts.data))
+                begins, ends, before = texts.runs(gone)
+                begins_at, ends_at = (c - np.repeat(texts.offsets[:-1], np.diff(before)) for c in (begins, ends))
+                removed = np.concatenate([[0], np.cumsum(gone)])[texts.offsets]
+                digests = [
+                    hashlib.sha256(texts.data[a:b][~gone[a:b]].tobytes()).hexdigest()
+                    for a, b in zip(texts.offsets[:-1], texts.offsets[1:])
+                ]
+                part = batch.slice(texts.first, len(texts.offsets) - 1)
+                lists = lambda c: pa.ListArray.from_arrays(before.astype("i4"), pa.array(c))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc"), part.column("part"), pa.array(np.diff(removed)), pa.array(digests, pa.string()), lists(begins_at), lists(ends_at)],
+                    names=["doc", "part", "n_removed", "rest_sha256", "begins", "ends"],
                 )
-            kinds = (pa.string(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            columns = list(zip(*rows)) if rows else [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("part"), *(pa.array(c, t) for c, t in zip(columns, kinds))],
-                names=["doc", "part", "sha256", "n_removed", "rest_sha256", "begins", "ends"],
-            )
-
-    return candidates.select("doc", "part", "text", "places", "gone").mapInArrow(
-        cut, "doc long, part long, sha256 string, n_removed long, rest_sha256 string, begins array<long>, ends array<long>"
+
+    return candidates.select("doc", "part", "text", "gone", "later").mapInArrow(
+        cut, "doc long, part long, n_removed long, rest_sha256 string, begins array<long>, ends array<long>"
     )
 
 
@@ -231,19 +355,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the spans that go
     as begins and ends in bytes.
     """
-    keyed = _keyed(docs, id_col, text_col)
-    own = ["doc", "part", "sha256"]
-    parsed = stage(_parsed(keyed), "parsed_bytes")
-    least = parsed.groupBy("sha256").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most")
-    later_copies = stage(
-        parsed.select(*own).join(least, "sha256", "inner").filter("doc > least").select(*own).distinct(), "later_copies"
-    )
-    zones = stage(_zones(parsed, later_copies), "byte_zones")
-    stats = stage(parsed.select(*own, "no_id", "n_bytes"), "byte_counts")
-    unstage(parsed)
-    candidates = stage(keyed.drop("no_id").join(zones, ["doc", "part"], "inner"), "candidates")
+    # rows that repeat an id are told apart by their text
+    keyed = _keyed(docs, id_col, text_col).withColumn("part", F.xxhash64("text"))
+    own = ["doc", "part"]
+    pieces = stage(_pieces(keyed), "byte_pieces")
+    zones = _zones(pieces)
+    unstage(pieces)
+    candidates = stage(keyed.drop("no_id").join(zones, own, "inner"), "candidates")
     unstage(zones)
-    # named twice rather than written: the names are many times the texts
+    # named twice rather than written: the names are many times the bytes they come from
     first = stage(
         _suffixes(candidates)
         .groupBy("one", "two")
@@ -256,26 +376,22 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         _suffixes(candidates)
         .join(first, ["one", "two"], "inner")
         .filter("doc > least")
-        .groupBy("doc", "part")
-        .agg(F.collect_set("one").alias("gone")),
+        .groupBy(*own)
+        .agg(F.collect_set("span").alias("later")),
         "later_suffixes",
     )
     unstage(first)
-    cut = stage(_cut(candidates.join(later, ["doc", "part"], "left")).dropDuplicates(own), "cut_bytes")
+    cut = stage(_cut(candidates.join(later, own, "left")).dropDuplicates(own), "cut_bytes")
     unstage(candidates, later)
-    copy = F.col("copy").isNotNull() & (F.col("n_bytes") >= DEPTH)
     zero = F.lit(0).cast("long")
     nothing = F.array().cast("array<long>")
-    return (
-        stats.join(later_copies.withColumn("copy", F.lit(True)), own, "left")
-        .join(cut, own, "left")
-        .select(
-            F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"),
-            "n_bytes",
-            F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", zero)).alias("n_removed"),
-            F.when(copy, F.lit(1)).otherwise(F.coalesce(F.size(F.coalesce("begins", nothing)), F.lit(0))).cast("long").alias("n_spans"),
-            F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("rest_sha256", "sha256")).alias("kept_sha256"),
-            F.when(copy, F.array(zero)).otherwise(F.coalesce("begins", nothing)).alias("begins"),
-            F.when(copy, F.array("n_bytes")).otherwise(F.coalesce("ends", nothing)).alias("ends"),
-        )
+    stats = keyed.select(*own, "no_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256"))
+    return stats.join(cut, own, "left").select(
+        F.when(~F.col("no_id"), F.col("doc")).alias("doc_id"),
+        "n_bytes",
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce(F.size(F.coalesce("begins", nothing)), F.lit(0)).cast("long").alias("n_spans"),
+        F.coalesce("rest_sha256", "sha256").alias("kept_sha256"),
+        F.coalesce("begins", nothing).alias("begins"),
+        F.coalesce("ends", nothing).alias("ends"),
     )
