@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
 from shelfwise.llm.tables import ids_and_texts
-from shelfwise.llm.wordhash import _BASE, _power, mix, range_hashes
+from shelfwise.llm.wordhash import _BASE, _power, mix, range_hasher
 from shelfwise.session import stage, unstage
 
 EDITS = 2
@@ -55,23 +55,25 @@ def segments(length: np.ndarray, edits: int = EDITS) -> list[tuple[np.ndarray, n
 
 def index_keys(points: np.ndarray, first: np.ndarray, length: np.ndarray, edits: int = EDITS) -> Iterator[np.ndarray]:
     """One key per line for each segment."""
+    hashes = range_hasher(points)
     for i, (start, size) in enumerate(segments(length, edits)):
-        yield _key(points, first + start, size, length, i)
+        yield _key(hashes, first + start, size, length, i)
 
 
 def probe_keys(points: np.ndarray, first: np.ndarray, length: np.ndarray, edits: int = EDITS) -> Iterator[np.ndarray]:
     """One key per line for each length, segment and shift that may hold the segment of a line not longer."""
+    hashes = range_hasher(points)
     for less in range(edits + 1):
         for i, (start, size) in enumerate(segments(np.maximum(length - less, 0), edits)):
             # at most i edits before the segment, and at most edits - i after it
             for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1):
                 # only in lines that are not longer than the edits, where segments may be empty, is it ever outside
                 at = np.clip(start + shift, 0, length - size)
-                yield _key(points, first + at, size, length - less, i)
+                yield _key(hashes, first + at, size, length - less, i)
 
 
-def _key(points, start, size, length, number: int) -> np.ndarray:
-    return mix(range_hashes(points, start, start + size) ^ mix(length.astype(np.uint64), 70 + number), 80)
+def _key(hashes, start, size, length, number: int) -> np.ndarray:
+    return mix(hashes(start, start + size) ^ mix(length.astype(np.uint64), 70 + number), 80)
 
 
 def rest_keys(points: np.ndarray, first: np.ndarray, length: int, edits: int = EDITS) -> tuple[np.ndarray, np.ndarray]:
@@ -188,9 +190,9 @@ def _banded(patterns: list[str], texts: list[str], edits: int) -> np.ndarray:
     return distance
 
 
-def _keys(lines: DataFrame, edits: int) -> DataFrame:
-    """(key, line, parity, probe) of the distinct lines (line, content): who may be linked meets by a key, once
-    as index and once as probe, but for two lines of at most ``edits`` characters.
+def _keys(lines: DataFrame, edits: int, probe: bool) -> DataFrame:
+    """(key, line, parity) of the distinct lines (line, content) as index or as probe: who may be linked meets by a
+    key of both, but for two lines of at most ``edits`` characters.
     """
     short = LEAST_SEGMENT * (edits + 1)
 
@@ -203,29 +205,24 @@ def _keys(lines: DataFrame, edits: int) -> DataFrame:
                 parity = parities(points, first, length).view(np.int64)
                 number = part.column("line").to_numpy()
 
-                def rows(key: np.ndarray, of: np.ndarray, probe: bool) -> pa.RecordBatch:
+                def rows(key: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
                     return pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(number[of]), pa.array(parity[of]), pa.array(np.full(len(key), probe))],
-                        names=["key", "line", "parity", "probe"],
+                        [pa.array(key.view(np.int64)), pa.array(number[of]), pa.array(parity[of])], names=["key", "line", "parity"]
                     )
 
                 long = np.flatnonzero(length >= short)
                 if len(long):
-                    for probe, keys in ((False, index_keys), (True, probe_keys)):
-                        for key in keys(points, first[long], length[long], edits):
-                            yield rows(key, long, probe)
-                for n in range(1, short + edits):
+                    for key in (probe_keys if probe else index_keys)(points, first[long], length[long], edits):
+                        yield rows(key, long)
+                # two lines of at most the edits never meet, and two that have segments do not meet here
+                for n in range(1, short) if probe else range(edits + 1, short + edits):
                     same = np.flatnonzero(length == n)
                     for at in range(0, len(same), SLICE):
                         of = same[at : at + SLICE]
                         key, place = rest_keys(points, first[of], n, edits)
-                        # two lines of at most the edits never meet, and two that have segments do not meet here
-                        if n > edits:
-                            yield rows(key, of[place], False)
-                        if n < short:
-                            yield rows(key, of[place], True)
+                        yield rows(key, of[place])
 
-    return lines.select("line", "content").mapInArrow(make, "key long, line long, parity long, probe boolean")
+    return lines.select("line", "content").mapInArrow(make, "key long, line long, parity long")
 
 
 def _linked(pairs: DataFrame, lines: DataFrame, edits: int) -> DataFrame:
@@ -258,8 +255,7 @@ def near_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .withColumn("line", F.monotonically_increasing_id()),
         "distinct_lines",
     )
-    keys = _keys(lines, edits)
-    index, probes = keys.filter("NOT probe"), keys.filter("probe")
+    index, probes = _keys(lines, edits, probe=False), _keys(lines, edits, probe=True)
     flips = F.bit_count(F.col("i.parity").bitwiseXOR(F.col("p.parity")))
     pairs = stage(
         index.alias("i")

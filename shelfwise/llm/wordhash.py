@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -44,11 +44,16 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
-def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of ``values[start:end]`` for each range, the same wherever the range lies."""
+def range_hasher(values: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of starts and ends: the hash of ``values[start:end]`` for each range, the same wherever the range lies."""
     total = np.zeros(len(values) + 1, dtype=np.uint64)
     np.cumsum(values * _power(_BASE, len(values)), dtype=np.uint64, out=total[1:])
-    return mix((total[ends] - total[starts]) * _power(_INVERSE, len(values) + 1)[starts])
+    back = _power(_INVERSE, len(values) + 1)
+    return lambda starts, ends: mix((total[ends] - total[starts]) * back[starts])
+
+
+def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    return range_hasher(values)(starts, ends)
 
 
 class Texts(NamedTuple):
