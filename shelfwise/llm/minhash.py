@@ -184,8 +184,9 @@ def _sketches(docs: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked, of the nodes in ``texts`` (node, text)."""
+    """The rows of ``pairs`` (a, b, more numbers) that are linked, of the nodes in ``texts`` (node, text)."""
     more, less = SIMILARITY[1], SIMILARITY[0]
+    names = pairs.columns
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,14 +197,14 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 some = batch.slice(part[0], len(part)) if len(part) else batch
                 shared, union = overlaps(some.column("a_text"), some.column("b_text"))
                 keep = pa.array((shared * more >= union * less) & (union > 0))
-                yield pa.RecordBatch.from_arrays([some.column("a").filter(keep), some.column("b").filter(keep)], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([some.column(c).filter(keep) for c in names], names=names)
 
     side = lambda c: texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text"))
     return (
         pairs.join(side("b"), "b", "inner")
         .join(side("a"), "a", "inner")
-        .select("a", "b", "a_text", "b_text")
-        .mapInArrow(linked, "a long, b long")
+        .select(*names, "a_text", "b_text")
+        .mapInArrow(linked, ", ".join(f"{c} long" for c in names))
     )
 
 
@@ -248,24 +249,40 @@ def _may_be_similar() -> Column:
     return weights & (flips <= MOST_FLIPS)
 
 
-def _with_leaders(buckets: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a text of each bucket's largest class, another one each turn, and the texts of its other classes."""
-    sizes = buckets.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", -F.col("class"))).alias("of")).select("key", (-F.col("of.col2")).alias("class"))
-    order = F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.col("node"), F.col("node"))
-    leaders = (
-        buckets.join(largest, ["key", "class"], "left_semi")
-        .groupBy("key")
-        .agg(F.min_by(F.struct("node", "weight", "bits", "class"), order).alias("leader"))
+def _leaders(buckets: DataFrame, turn: int) -> DataFrame:
+    """(key, leader) of the buckets with several classes: a text of the largest class, another one each turn."""
+    one = F.struct("node", "weight", "bits", "class")
+    if not turn:  # each text is a class, and no bucket has a single one
+        return buckets.groupBy("key").agg(F.min_by(one, "node").alias("leader"))
+    order = F.struct(F.xxhash64("node", F.lit(turn)), F.col("node"))
+    of_classes = buckets.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.min_by(one, order).alias("leader"))
+    return (
+        of_classes.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("classes"), F.max_by("leader", F.struct("n", -F.col("class"))).alias("leader"))
+        .filter("classes > 1")
+        .select("key", "leader")
     )
-    return buckets.join(leaders, "key", "inner").select(
-        F.least("node", "leader.node").alias("a"),
-        F.greatest("node", "leader.node").alias("b"),
-        F.col("weight").alias("a_weight"),
-        F.col("leader.weight").alias("b_weight"),
-        F.col("bits").alias("a_bits"),
-        F.col("leader.bits").alias("b_bits"),
-        (F.col("class") != F.col("leader.class")).alias("apart"),
+
+
+def _with_leaders(buckets: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b, a_class, b_class) of each bucket's leader and the texts of other classes that may be similar."""
+    lower = F.col("node") < F.col("leader.node")
+    return (
+        buckets.join(_leaders(buckets, turn), "key", "inner")
+        .filter(F.col("class") != F.col("leader.class"))
+        .select(
+            F.least("node", "leader.node").alias("a"),
+            F.greatest("node", "leader.node").alias("b"),
+            F.when(lower, F.col("class")).otherwise(F.col("leader.class")).alias("a_class"),
+            F.when(lower, F.col("leader.class")).otherwise(F.col("class")).alias("b_class"),
+            F.col("weight").alias("a_weight"),
+            F.col("leader.weight").alias("b_weight"),
+            F.col("bits").alias("a_bits"),
+            F.col("leader.bits").alias("b_bits"),
+        )
+        .filter(_may_be_similar())
+        .select("a", "b", "a_class", "b_class")
+        .distinct()
     )
 
 
@@ -334,26 +351,28 @@ def _classes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     buckets = stage(keys.join(shared, "key", "left_semi"), "buckets")
     texts = stage(_texts_of(docs, nodes, buckets.select("node").distinct()), "bucket_texts")
-    mixed = buckets.withColumn("class", F.col("node"))
+    named = buckets.withColumn("class", F.col("node"))
     links, tried = None, None
     for turn in range(LEADER_TURNS):
-        pairs = _with_leaders(mixed, turn).filter("apart").filter(_may_be_similar()).select("a", "b").distinct()
+        pairs = _with_leaders(named, turn)
         pairs = stage(pairs.join(tried, ["a", "b"], "left_anti") if tried is not None else pairs, "leader_pairs")
         found = stage(_verified(pairs, texts), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        # buckets of one class are done
-        named = buckets.join(components(links), "node", "left").select(
-            "key", "node", "weight", "bits", F.coalesce("component", "node").alias("class")
+        ends = lambda rows: rows.select("a", "b")
+        tried = ends(pairs) if tried is None else tried.unionByName(ends(pairs))
+        links = ends(found) if links is None else links.unionByName(ends(found))
+        # only what this turn has linked is new: classes join classes
+        joined = components(found.select(F.col("a_class").alias("a"), F.col("b_class").alias("b"))).withColumnRenamed("node", "class")
+        named = stage(
+            named.join(joined, "class", "left").select("key", "node", "weight", "bits", F.coalesce("component", "class").alias("class")),
+            "named_buckets",
         )
-        of_more = named.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most").select("key")
-        mixed = stage(named.join(of_more, "key", "left_semi"), "mixed_buckets")
     # what is left are texts that may be linked across classes; those that share a rare enough unit are compared
-    open_texts = stage(mixed.select("node", "class").distinct(), "open_texts")
+    of_more = named.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most")).filter("least < most").select("key")
+    open_texts = stage(named.join(of_more, "key", "left_semi").select("node", "class").distinct(), "open_texts")
     prefixes = stage(_prefixes(stage(_units(texts.join(open_texts, "node", "left_semi")), "units")).join(open_texts, "node", "inner"), "prefixes")
     rest = stage(_apart(prefixes).join(tried, ["a", "b"], "left_anti"), "pairs")
     more = stage(_verified(rest, texts), "more_links")
-    unstage(buckets, texts, mixed, prefixes, rest)
+    unstage(buckets, texts, named, prefixes, rest)
     return components(links.unionByName(more))
 
 
