@@ -79,3 +79,17 @@ def test_weekly_runs_in_parts(roles, inputs, monkeypatch):
         roles.spark.conf.set(setting, before)
     got = comparable(parts, whole.columns)
     assert got == comparable(whole, whole.columns) and got
+
+
+def stages_of(spark, monkeypatch, name):
+    """Runs a query with no table staged before; its result."""
+    from registry import queries as q
+
+    monkeypatch.setattr("registry.roles._STAGED", {})
+    return q.registered()[name](spark, SF_DIR)
+
+
+def test_weekly_competitor_stats_are_one_table(spark, folder, monkeypatch):
+    out = stages_of(spark, monkeypatch, "weekly_competitor_stats")
+    assert "Exchange" not in plan_of(out) and "weekly_stats" in folder()
+    assert not {"windows", "weekly_counts", "weekly_national", "runs"} & set(folder())
