@@ -93,3 +93,19 @@ def test_weekly_competitor_stats_are_one_table(spark, folder, monkeypatch):
     out = stages_of(spark, monkeypatch, "weekly_competitor_stats")
     assert "Exchange" not in plan_of(out) and "weekly_stats" in folder()
     assert not {"windows", "weekly_counts", "weekly_national", "runs"} & set(folder())
+
+
+ON_THE_WAY = {"sales_lines", "demand", "windows", "weekly_counts", "weekly_national", "recent_store", "asof_slices", "chosen_lines", "central"}
+
+
+WEEKLY = ["price_change_by_dept"]
+
+
+@pytest.mark.parametrize("names", [WEEKLY])
+def test_stages_of_the_fact_table_are_removed(spark, folder, monkeypatch, names):
+    from registry import queries as q
+
+    monkeypatch.setattr("registry.roles._STAGED", {})
+    for name in names:
+        q.registered()[name](spark, SF_DIR)
+        assert "fact_rows" in folder() and not ON_THE_WAY & set(folder()), name
