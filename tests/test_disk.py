@@ -98,7 +98,7 @@ def test_weekly_competitor_stats_are_one_table(spark, folder, monkeypatch):
 ON_THE_WAY = {"sales_lines", "demand", "windows", "weekly_counts", "weekly_national", "recent_store", "asof_slices", "chosen_lines", "central"}
 
 
-WEEKLY = ["price_change_by_dept", "weekly_reruns", "price_change_distribution", "rollup_flags"]
+WEEKLY = ["price_change_by_dept", "weekly_reruns", "price_change_distribution", "rollup_flags", "rollup_nine_keys"]
 
 
 @pytest.mark.parametrize("names", [WEEKLY])
