@@ -99,7 +99,7 @@ ON_THE_WAY = {"sales_lines", "demand", "windows", "weekly_counts", "weekly_natio
 
 
 WEEKLY = ["price_change_by_dept", "weekly_reruns", "price_change_distribution", "rollup_flags", "rollup_nine_keys"]
-OF_ONE_RUN = ["null_suggestion_skus", "fallback_cascade", "group_price", "top_stores", "suggested_prices_default", "group_min_price", "impact_by_sku", "suggestion_counts", "promo_fallback_report", "fact_table_inventory"]
+OF_ONE_RUN = ["null_suggestion_skus", "fallback_cascade", "group_price", "top_stores", "suggested_prices_default", "group_min_price", "impact_by_sku", "suggestion_counts", "promo_fallback_report", "fact_table_inventory", "fact_table"]
 
 
 @pytest.mark.parametrize("names", [WEEKLY, OF_ONE_RUN])
