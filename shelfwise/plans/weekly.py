@@ -12,6 +12,7 @@ from shelfwise.plans import price_impact as impact_plan
 from shelfwise.plans.competitor_stats import CompetitorStats, competitor_stats, look_back_prices
 from shelfwise.plans.fact_table import fact_table
 from shelfwise.plans.suggested_prices import SuggestedPrices, suggested_prices
+from shelfwise.session import unstage
 from shelfwise.sources.tables import load_table, save_table
 
 
@@ -30,7 +31,9 @@ def run_competitor_stats(spark, prices, matrix, period, out, first=0, last=6) ->
 
 def run_fact_table(spark, sales, prices, inventory, stats, cats, period, out, **options) -> DataFrame:
     fact = fact_table(sales, prices, inventory, stats, cats, period, **options)
-    return _kept(spark, fact, f"{out}/fact_{period}")
+    kept = _kept(spark, fact, f"{out}/fact_{period}")
+    unstage(fact)
+    return kept
 
 
 def kept_catalogues(spark, cats: Catalogues, out) -> Catalogues:

@@ -99,7 +99,10 @@ ON_THE_WAY = {"sales_lines", "demand", "windows", "weekly_counts", "weekly_natio
 
 
 WEEKLY = ["price_change_by_dept", "weekly_reruns", "price_change_distribution", "rollup_flags", "rollup_nine_keys"]
-OF_ONE_RUN = ["null_suggestion_skus", "fallback_cascade", "group_price", "top_stores", "suggested_prices_default", "group_min_price", "impact_by_sku", "suggestion_counts", "promo_fallback_report", "fact_table_inventory", "fact_table"]
+OF_ONE_RUN = [
+    "null_suggestion_skus", "fallback_cascade", "group_price", "top_stores", "suggested_prices_default", "group_min_price",
+    "impact_by_sku", "suggestion_counts", "promo_fallback_report", "fact_table_inventory", "fact_table",
+]
 
 
 @pytest.mark.parametrize("names", [WEEKLY, OF_ONE_RUN])
@@ -114,3 +117,9 @@ def test_stages_of_the_fact_table_are_removed(spark, folder, monkeypatch, names)
         assert "fact_rows" in folder() and not gone & set(folder()), name
         if name.startswith("fact_table"):
             assert "Exchange" not in plan_of(out)
+
+
+def test_the_weekly_chain_keeps_what_it_saves_alone(spark, folder, monkeypatch):
+    monkeypatch.setattr("registry.queries.shared_dir", session.shared_dir)
+    stages_of(spark, monkeypatch, "weekly_chain")
+    assert not (ON_THE_WAY | {"fact_rows"}) & set(folder())
